@@ -31,6 +31,12 @@ def op8_mpegts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(media_table(table(spark, sf_dir, "documents")))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 WITH page AS (
   SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS n FROM pages
@@ -43,7 +49,7 @@ FROM named
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_bpe": op3_bpe, "op4_warc": op4_warc, "op8_mpegts": op8_mpegts}
+    return {"op3_bpe": op3_bpe, "op4_warc": op4_warc, "op8_mpegts": op8_mpegts, "op10_suffix_dedup": op10_suffix_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
