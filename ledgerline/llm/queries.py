@@ -11,6 +11,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import join
+
+    return join(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,7 +55,7 @@ FROM named
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_bpe": op3_bpe, "op4_warc": op4_warc, "op8_mpegts": op8_mpegts, "op10_suffix_dedup": op10_suffix_dedup}
+    return {"op2_ngram_join": op2_ngram_join, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op8_mpegts": op8_mpegts, "op10_suffix_dedup": op10_suffix_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

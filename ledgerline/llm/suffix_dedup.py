@@ -377,8 +377,8 @@ def _results(buckets: int, span: int, gram: int, texts: bool):
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         if texts:
             at = off.tolist()
-            columns += [pa.array([hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)], pa.string()), pa.array(raw, pa.binary())]
-            names += ["text_sha256", "kept"]
+            columns += [pa.array([hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in raw], pa.string())]
+            names += ["text_sha256", "kept_text"]
         return [pa.RecordBatch.from_arrays(columns, names)]
 
     return work
@@ -388,7 +388,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with `texts`, also text_sha256 and kept (bytes)."""
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with `texts`, also text_sha256 and kept_text, without characters that a cut has broken."""
     if not 0 < gram <= span or span - gram >= 64 or span > 255:
         raise ValueError("the k-gram must fit the span, with fewer than 64 bytes more, in a span of 255 at most")
     chunks = Chunks(docs)
@@ -398,7 +398,7 @@ def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM, texts: bool = Fal
         runs = chunks.answered(settled, _run_blobs(chunks.buckets, span, gram), "bucket long, chunk long, blob binary")
         marked = gathered(runs, _merge(span, gram), ANSWER)
         answers = settled.unionByName(marked)
-        schema = RESULT + (", text_sha256 string, kept binary" if texts else "")
+        schema = RESULT + (", text_sha256 string, kept_text string" if texts else "")
         return materialise(chunks.answered(answers, _results(chunks.buckets, span, gram, texts), schema), "suffix-result")
     finally:
         chunks.drop()
@@ -410,7 +410,7 @@ def dedup_texts(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFram
     A row is found again by its doc_id and the digest of its text, which decide what is kept of it.
     """
     kept = dedup(docs, span, gram, texts=True).dropDuplicates(["doc_id", "text_sha256"])
-    cut = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.expr("replace(decode(kept, 'UTF-8'), '\ufffd', '')").alias("_kept"))
+    cut = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept_text").alias("_kept"))
     joined = docs.join(cut, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.sha2(F.encode(F.coalesce(docs["text"], F.lit("")), "UTF-8"), 256) == F.col("_sha")))
     fresh = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
     return joined.select(*[fresh[c].alias(c) if c in fresh else docs[c] for c in docs.columns])
