@@ -31,12 +31,32 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(*archive(table(spark, sf_dir, "pages")))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import report
+
+    return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mpegts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mpegts import features, media_table
 
     return features(media_table(table(spark, sf_dir, "documents")))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import dedup
 
@@ -55,7 +75,8 @@ FROM named
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_ngram_join": op2_ngram_join, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op8_mpegts": op8_mpegts, "op10_suffix_dedup": op10_suffix_dedup}
+    found = (op2_ngram_join, op3_bpe, op4_warc, op5_decontaminate, op7_quality, op8_mpegts, op9_token_counts, op10_suffix_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
