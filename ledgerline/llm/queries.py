@@ -11,6 +11,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Fixed values of the contract.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "allow"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import join
 
@@ -37,6 +47,26 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: What a user's turn must be to count as a valid call in op6_chat.
+ANSWER_SCHEMA = {
+    "answer": {
+        "required": ["text", "turn"],
+        "properties": {"text": {"type": "string", "minLength": 1, "maxLength": 4000}, "turn": {"type": "integer", "minimum": 0}},
+        "additionalProperties": False,
+    }
+}
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn as a call answered by the assistant's next turn."""
+    from pyspark.sql import functions as F
+
+    from .chat import formatted, from_turns
+
+    out = formatted(*from_turns(table(spark, sf_dir, "conversations"), "answer"), ANSWER_SCHEMA)
+    return out.withColumn("errors", F.array_join("errors", "; "))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import classify
 
@@ -74,10 +104,34 @@ FROM named
 """
 
 
+OP6_SQL = """
+WITH m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+calls AS (SELECT conv_id, turn, conv_id || ':' || turn AS call_id, text FROM m WHERE role = 'user'),
+results AS (SELECT conv_id, turn, conv_id || ':' || (turn - 1) AS call_id, text FROM m WHERE role = 'assistant'),
+ranked_calls AS (
+  SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY json_object('text', text, 'turn', turn)::VARCHAR) AS k FROM calls
+),
+ranked_results AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY text) AS k FROM results)
+SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, CASE WHEN c.k = 1 THEN r.turn END AS partner_turn,
+  CASE WHEN c.k > 1 THEN 'duplicate' WHEN length(c.text) NOT BETWEEN 1 AND 4000 THEN 'invalid' WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+  CASE WHEN length(c.text) < 1 THEN 'text: too short' WHEN length(c.text) > 4000 THEN 'text: too long' ELSE '' END AS errors,
+  c.turn AS order_turn, CAST(0 AS BIGINT) AS order_depth,
+  json_object('arguments', json_object('text', c.text, 'turn', c.turn), 'id', c.call_id, 'name', 'answer', 'type', 'tool_call')::VARCHAR AS json
+FROM ranked_calls c LEFT JOIN ranked_results r ON r.call_id = c.call_id AND r.k = 1
+UNION ALL
+SELECT r.conv_id, r.turn, 'result', r.call_id, CASE WHEN r.k = 1 THEN c.turn END, CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.k > 1 THEN 'duplicate' ELSE 'linked' END, '', r.turn, 0,
+  json_object('content', r.text, 'id', r.call_id, 'type', 'tool_result')::VARCHAR
+FROM ranked_results r LEFT JOIN ranked_calls c ON c.call_id = r.call_id AND c.k = 1
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, NULL, 'plain', '', turn, 0, json_object('content', text, 'role', role, 'type', 'message')::VARCHAR
+FROM m WHERE coalesce(role, '') NOT IN ('user', 'assistant')
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_ngram_join, op3_bpe, op4_warc, op5_decontaminate, op7_quality, op8_mpegts, op9_token_counts, op10_suffix_dedup)
+    found = (op1_url_filter, op2_ngram_join, op3_bpe, op4_warc, op5_decontaminate, op6_chat, op7_quality, op8_mpegts, op9_token_counts, op10_suffix_dedup)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL}
+    return {"op4_warc": OP4_SQL, "op6_chat": OP6_SQL}
