@@ -1 +1 @@
-
+"""Records analytics on PySpark: sources, operators, functions, plans and streaming forms."""

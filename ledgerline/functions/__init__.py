@@ -1 +1 @@
-
+"""Column functions: normalisation, predicates, text parsers, search."""

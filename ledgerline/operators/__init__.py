@@ -1 +1 @@
-
+"""DataFrame operators: folds, duplicates, joins, differences, guards, reports."""
