@@ -13,9 +13,9 @@ def upper_median(values: Column) -> Column:
 
 def extraction(rows: DataFrame, group: str, size: str) -> DataFrame:
     """group, n, median (upper), longest. Sizes are counted first, so a group's state is its distinct sizes."""
-    counts = rows.groupBy(group, size).agg(F.count("*").alias("n"))
+    counts = rows.groupBy(group, size).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(group).orderBy(size)
-    run = counts.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy(group)))
+    run = counts.withColumn("upto", F.sum("_n").over(w)).withColumn("total", F.sum("_n").over(Window.partitionBy(group)))
     middle = F.floor(F.col("total") / 2) + 1
     return run.groupBy(group).agg(F.max("total").alias("n"), F.min(F.when(F.col("upto") >= middle, F.col(size))).alias("median"), F.max(size).alias("longest"))
 

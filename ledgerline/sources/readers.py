@@ -43,14 +43,16 @@ def jsonl(spark: SparkSession, path: str, schema: str, strict_tail: bool = False
     """
     rows = lines(spark, path).where(F.trim(F.regexp_replace("value", "\r", "")) != "")
     names = spark.createDataFrame([], schema).schema
-    corrupt = "_corrupt"
-    parsed = rows.select("seq", F.from_json("value", names.simpleString()[7:-1] + f",{corrupt}:string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("v"))
-    # One narrow aggregation finds each file's last line; it is joined as a few rows.
+    # Whether a line is JSON is asked apart from its fields: the optimizer prunes what from_json has to look at.
+    parsed = rows.select("seq", "value", F.try_parse_json("value").isNull().alias("bad"))
+    # One narrow aggregation finds each file's last line: a row per file.
     last = rows.groupBy(F.col("seq.file").alias("file")).agg(F.max("seq").alias("last"))
-    joined = parsed.join(F.broadcast(last), F.col("seq.file") == F.col("file")).withColumn("torn", (F.col("seq") == F.col("last")) & (F.col(f"v.{corrupt}").isNotNull() | F.lit(strict_tail) & ~F.lit(ends_with_newline(spark, path))))
-    whole = joined.where("not torn")
-    checked = F.when(F.col(f"v.{corrupt}").isNull(), F.col("v")).otherwise(F.raise_error(F.concat(F.lit("a line before the last one doesn't parse: "), F.left(F.col(f"v.{corrupt}"), F.lit(200)))))
-    return whole.select("seq", checked.alias("v")).select(*[f"v.{n}" for n in names.names], "seq")
+    unended = strict_tail and not ends_with_newline(spark, path)
+    joined = parsed.join(last, F.col("seq.file") == F.col("file"))
+    whole = joined.where(~((F.col("seq") == F.col("last")) & (F.col("bad") | F.lit(unended))))
+    # The last line is named here again, so that no filter on the fields can move this check in front of the join.
+    checked = F.when(~F.col("bad"), F.col("value")).when(F.col("seq") == F.col("last"), None).otherwise(F.raise_error(F.concat(F.lit("a line before the last one doesn't parse: "), F.left("value", F.lit(200)))))
+    return whole.select("seq", F.from_json(checked, names).alias("v")).select(*[f"v.{n}" for n in names.names], "seq")
 
 
 def ends_with_newline(spark: SparkSession, path: str) -> bool:
