@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,11 @@ from ..operators import diff, guards
 from ..sources.schemas import WATCHED
 
 
+def since(text: str, today: date) -> date:
+    """A number is that many days back, anything else an ISO date."""
+    return today - timedelta(days=int(text)) if text.isdigit() else date.fromisoformat(text)
+
+
 @dataclass
 class Night:
     """What a night found, after judgement."""

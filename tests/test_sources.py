@@ -1,5 +1,6 @@
 """Readers, HTML, snapshots and whole plans."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -30,6 +31,19 @@ def test_csv_quotes_and_order(spark, tmp_path):
     assert readers.keyed_records(spark, {"state": path}).count() == 2
 
 
+def test_torn_csv_rows_and_open_quotes(spark, tmp_path):
+    path = csv(tmp_path, [ROW, [*ROW[:4], "SECOND", *ROW[5:]]])
+    assert readers.whole_records(spark, {"s": path}).count() == 2
+    text = (tmp_path / "r.csv").read_text()
+    assert [r.vendor for r in readers.whole_records(spark, {"s": write(tmp_path / "t.csv", text + "A-2,O4,1,Ro")}).orderBy("seq").collect()] == ['ACME "X", INC', "SECOND"]
+    with pytest.raises(ValueError, match="open at the end"):
+        readers.whole_records(spark, {"s": write(tmp_path / "u.csv", text + 'A-2,"O4')})
+
+
+def test_since():
+    assert str(nightly.since("3", dt.date(2026, 1, 5))) == "2026-01-02" and str(nightly.since("2025-02-03", dt.date(2026, 1, 5))) == "2025-02-03"
+
+
 def test_jsonl_last_line_wins_and_torn_tail(spark, tmp_path):
     lines = ['{"k":"a","n":1}', '{"k":"b","n":2}', '{"k":"a","n":3,"doc":"x y"}']
     whole = write(tmp_path / "a.jsonl", "\n".join(lines) + "\n")
