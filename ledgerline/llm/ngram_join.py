@@ -13,8 +13,8 @@ Over a corpus this takes place in three rounds, each linear in the text:
    others - the rarest - are the short lists: linked documents share at least one of those.
 2. Groups by two min-hashes of the short lists find most links and join near copies to components. A large group is dealt
    over blocks by a salt; blocks meet through the other min-hash.
-3. Every short list that still holds several components is searched as a whole, large ones by pairs of blocks. So no
-   link between components is lost, and within a component nothing has to be compared any more.
+3. Every short list that still holds several components is searched as a whole, in groups that cover such lists, large
+   ones by pairs of blocks. So no link between components is lost, and within a component nothing is compared any more.
 
 Sets are compared by 64-bit shingle hashes. Null text is empty; an empty set links with nothing; a null doc_id counts as
 larger than any other; rows with one doc_id are one document to the components. Extra columns are ignored.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .chunks import LAST_ID, Chunks, gathered, pack, unpack
 from .components import components
 from .storage import materialise
-from .text import BLOCK_BYTES, U64, buffers, mix, shingles, slices
+from .text import BLOCK_BYTES, U64, mix, shingles, slices
 
 SIZE = 4
 PERCENT = 85
@@ -48,26 +48,47 @@ def overlap_needed(n: int, percent: int) -> int:
 
 
 class InvertedIndex:
-    """Inverted lists of a group of sets (sorted arrays of distinct hashes)."""
+    """Inverted lists of a group of sets (sorted arrays of distinct hashes).
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets, self.sizes = sets, [len(s) for s in sets]
+    labels: a component number of each set. A list whose sets are all of one component can't bring a link between
+    components; it stays out, and so do lists of one set.
+    """
+
+    def __init__(self, sets: list[np.ndarray], labels: list[int] | None = None):
+        self.sizes = [len(s) for s in sets]
         doc = np.repeat(np.arange(len(sets)), self.sizes)
         every = np.concatenate(sets) if sets else np.empty(0, U64)
         order = np.argsort(every, kind="stable")
-        self.keys, first = np.unique(every[order], return_index=True)
-        self.ids = doc[order].tolist()
-        self.at = np.append(first, len(every)).tolist()
-        self.where = [np.searchsorted(self.keys, s).tolist() for s in sets]
+        keys, docs = every[order], doc[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        label = np.asarray(labels if labels is not None else np.arange(len(sets)), np.int64)[docs]
+        mixed = np.minimum.reduceat(label, first) != np.maximum.reduceat(label, first) if len(first) else np.empty(0, bool)
+        ends = np.append(first[1:], len(keys))
+        self._docs, self._first, self._ends = docs, first, ends
+        # Lists by document: the numbers of its mixed lists.
+        number = np.cumsum(new) - 1
+        useful = mixed[number]
+        by_doc = np.argsort(docs[useful], kind="stable")
+        self._of = number[useful][by_doc]
+        self._at = np.searchsorted(docs[useful][by_doc], np.arange(len(sets) + 1))
+
+    def number_of_lists(self, q: int) -> int:
+        return int(self._at[q + 1] - self._at[q])
 
     def lists(self, q: int) -> list[list[int]]:
-        return [self.ids[self.at[k] : self.at[k + 1]] for k in self.where[q]]
+        """q's lists, longest first."""
+        own = self._of[self._at[q] : self._at[q + 1]]
+        a, b = self._first[own], self._ends[own]
+        order = np.argsort(a - b, kind="stable")
+        return [self._docs[x:y].tolist() for x, y in zip(a[order].tolist(), b[order].tolist(), strict=True)]
 
     def search(self, q: int, needed: int, mu: float = LONG_LIST_COST) -> dict[int, int]:
         """DivideSkip: documents that stand in at least `needed` of q's lists, with their number of lists."""
-        lists = sorted(self.lists(q), key=len, reverse=True)
-        if not lists:
+        if self.number_of_lists(q) < max(1, needed):
             return {}
+        lists = self.lists(q)
         longest = max(2, len(lists[0]))
         n_long = max(0, min(needed - 1, int(needed / (mu * np.log2(longest) + 1))))
         long, short = lists[:n_long], lists[n_long:]
@@ -133,7 +154,7 @@ def join_group(sets: list[np.ndarray], joined: list[int], percent: int) -> list[
     out: list[tuple[int, int]] = []
     if left < 2:
         return out
-    index = InvertedIndex(sets)
+    index = InvertedIndex(sets, joined)
     for q in range(len(sets)):
         if left < 2:
             break
@@ -238,7 +259,7 @@ def _frequencies(table: pa.Table) -> pa.Table:
 
 
 ANSWER = "chunk long, bucket long, kind string, blob binary, places array<long>"
-CANDIDATE = "doc_id long, key_a long, key_b long, short array<long>, text binary"
+CANDIDATE = "doc_id long, key_a long, key_b long, short array<long>, shingles binary"
 
 
 def _candidates(buckets: int, size: int, percent: int):
@@ -258,11 +279,11 @@ def _candidates(buckets: int, size: int, percent: int):
             common = int(shared[b] - shared[a])
             if not needed or common < needed:
                 continue
-            h, lv = c.hashes[a:b], level[a:b]
-            h, lv = h[lv > 1], lv[lv > 1]
+            every, lv = c.hashes[a:b], level[a:b]
+            h, lv = every[lv > 1], lv[lv > 1]
             short = h[np.lexsort((h, lv))[: common - needed + 1]]
             other = mix(short ^ U64(0x2545F4914F6CDD1D))
-            rows.append((int(ids[k]), int(short.min().astype(np.int64)), int(other.min().astype(np.int64)), short.astype(np.int64), text[off[k] : off[k + 1]].tobytes()))
+            rows.append((int(ids[k]), int(short.min().astype(np.int64)), int(other.min().astype(np.int64)), short.astype(np.int64), every.tobytes()))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         columns = list(zip(*rows, strict=True)) or [()] * 5
         return [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], [f.split()[0] for f in CANDIDATE.split(", ")])]
@@ -270,14 +291,13 @@ def _candidates(buckets: int, size: int, percent: int):
     return work
 
 
-def _linker(size: int, percent: int):
+def _linker(percent: int):
     def work(group: pa.Table) -> pa.Table:
         # One row per document: pairs of blocks may bring one twice.
         ids = group.column("doc_id").to_numpy()
         _, first = np.unique(ids, return_index=True)
         group, ids = group.take(pa.array(first)), ids[first].tolist()
-        data, off = buffers(group.column("text"))
-        sets = [h for _, h in _sets(data, off, size)]
+        sets = [np.frombuffer(x, U64) for x in group.column("shingles").to_pylist()]
         out = join_group(sets, group.column("component").to_pylist(), percent)
         return pa.table({"a": pa.array([ids[x] for x, _ in out], pa.int64()), "b": pa.array([ids[y] for _, y in out], pa.int64())})
 
@@ -303,9 +323,20 @@ def _block_pairs(members: DataFrame, group: int) -> DataFrame:
     )
 
 
-def _search(dealt: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links that join components among the documents of each block. texts: doc_id, component, text."""
-    return dealt.join(texts, "doc_id").select("key", "i", "j", "doc_id", "component", "text").groupBy("key", "i", "j").applyInArrow(_linker(size, percent), "a long, b long")
+def _search(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components among the documents of each block. sets: doc_id, component, shingles."""
+    return dealt.join(sets, "doc_id").select("key", "i", "j", "doc_id", "component", "shingles").groupBy("key", "i", "j").applyInArrow(_linker(percent), "a long, b long")
+
+
+def _covering_groups(lists: DataFrame) -> DataFrame:
+    """key, doc_id: groups that hold every list as a whole, most of them once. lists: elem, n, doc_id.
+
+    Each document names its longest list; a list joins the longest one that its documents name, and a group is all
+    documents of the lists that joined. Lists of one group of near copies differ little, so they end up together.
+    """
+    named = lists.groupBy("doc_id").agg(F.max(F.struct("n", "elem")).alias("longest"))
+    target = lists.join(named, "doc_id").groupBy("elem").agg(F.max("longest").alias("target"))
+    return lists.join(target, "elem").select(F.col("target.elem").alias("key"), "doc_id").distinct()
 
 
 def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
@@ -324,9 +355,9 @@ def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int =
         found = materialise(chunks.answered(answers, _candidates(chunks.buckets, size, percent), CANDIDATE), "ngram-candidates")
     finally:
         chunks.drop()
-    texts = found.select("doc_id", F.col("doc_id").alias("component"), "text")
+    apart = found.select("doc_id", F.col("doc_id").alias("component"), "shingles")
     both = found.select(F.col("key_a").alias("key"), "doc_id").union(found.select(F.col("key_b").alias("key"), "doc_id"))
-    near = materialise(_search(_blocks(both, group), texts, size, percent), "ngram-links")
+    near = materialise(_search(_blocks(both, group), apart, percent), "ngram-links")
     joined = materialise(components(near), "ngram-components")
 
     # What is left: short lists with several components, each set of documents once.
@@ -334,10 +365,10 @@ def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int =
     lists = known.groupBy("elem").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")
     )
-    open_lists = lists.where("low < high").groupBy("n", "x", "y").agg(F.min("elem").alias("elem")).select("elem")
-    members = materialise(known.join(open_lists, "elem").select(F.col("elem").alias("key"), "doc_id", "component"), "ngram-open")
-    labelled = members.select("doc_id", "component").distinct().join(found.select("doc_id", "text"), "doc_id")
-    far = materialise(_search(_block_pairs(members.select("key", "doc_id"), group), labelled, size, percent), "ngram-links")
+    open_lists = lists.where("low < high").groupBy("n", "x", "y").agg(F.min("elem").alias("elem")).select("elem", "n")
+    members = materialise(known.join(open_lists, "elem").select("elem", "n", "doc_id"), "ngram-open")
+    labelled = found.select("doc_id", "shingles").join(members.select("doc_id").distinct(), "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"), "shingles")
+    far = materialise(_search(_block_pairs(_covering_groups(members), group), labelled, percent), "ngram-links")
     final = joined if far.isEmpty() else components(near.union(far))
 
     # A class takes the component of the document that stands for it; a doc_id's rows are one document.
