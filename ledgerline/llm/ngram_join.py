@@ -296,10 +296,11 @@ def _linker(percent: int):
         # One row per document: pairs of blocks may bring one twice.
         ids = group.column("doc_id").to_numpy()
         _, first = np.unique(ids, return_index=True)
-        group, ids = group.take(pa.array(first)), ids[first].tolist()
+        group = group.take(pa.array(first))
         sets = [np.frombuffer(x, U64) for x in group.column("shingles").to_pylist()]
-        out = join_group(sets, group.column("component").to_pylist(), percent)
-        return pa.table({"a": pa.array([ids[x] for x, _ in out], pa.int64()), "b": pa.array([ids[y] for _, y in out], pa.int64())})
+        known = group.column("component").to_pylist()
+        out = join_group(sets, known, percent)
+        return pa.table({"a": pa.array([known[x] for x, _ in out], pa.int64()), "b": pa.array([known[y] for _, y in out], pa.int64())})
 
     return work
 
@@ -324,8 +325,11 @@ def _block_pairs(members: DataFrame, group: int) -> DataFrame:
 
 
 def _search(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that join components among the documents of each block. sets: doc_id, component, shingles."""
-    return dealt.join(sets, "doc_id").select("key", "i", "j", "doc_id", "component", "shingles").groupBy("key", "i", "j").applyInArrow(_linker(percent), "a long, b long")
+    """Pairs of components (a, b) that a link joins, from the documents of each block. sets: doc_id, component, shingles."""
+    # Few bytes can be much work here: the number of tasks is set, not derived from sizes.
+    tasks = 2 * int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = dealt.join(sets, "doc_id").select("key", "i", "j", "doc_id", "component", "shingles").repartition(tasks, "key", "i", "j")
+    return rows.groupBy("key", "i", "j").applyInArrow(_linker(percent), "a long, b long")
 
 
 def _covering_groups(lists: DataFrame) -> DataFrame:
@@ -369,10 +373,13 @@ def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int =
     members = materialise(known.join(open_lists, "elem").select("elem", "n", "doc_id"), "ngram-open")
     labelled = found.select("doc_id", "shingles").join(members.select("doc_id").distinct(), "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"), "shingles")
     far = materialise(_search(_block_pairs(_covering_groups(members), group), labelled, percent), "ngram-links")
-    final = joined if far.isEmpty() else components(near.union(far))
 
-    # A class takes the component of the document that stands for it; a doc_id's rows are one document.
-    labels = classes.select("sig_a", "sig_b", "n_shingles", F.col("doc_id").alias("node")).join(final, "node", "left").select("sig_a", "sig_b", "n_shingles", F.coalesce("component", "node").alias("component"))
+    # A class takes the component of the document that stands for it, as the second search has joined it with others.
+    labels = classes.select("sig_a", "sig_b", "n_shingles", F.col("doc_id").alias("node")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    if not far.isEmpty():
+        wider = components(far).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+        labels = labels.join(wider, "component", "left").withColumn("component", F.coalesce("wider", "component"))
+    labels = labels.select("sig_a", "sig_b", "n_shingles", "component")
     real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
     out = rows.join(labels, ["sig_a", "sig_b", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
     return out.select(real("doc_id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
