@@ -19,7 +19,8 @@ def flatten(c: Column) -> Column:
 
 def money(c: Column) -> Column:
     """`$4,920.00` to 4920.0. What isn't a finite number as a whole counts as 0.0."""
-    bare = F.regexp_replace(F.regexp_replace(c, r"(?U)[$,\s]", ""), r"(?<=\d)_(?=\d)", "")
+    bare = F.regexp_replace(F.regexp_replace(c, r"(?U)[$,]|^\s+|\s+\z", ""), r"(?<=\d)_(?=\d)", "")
+    bare = F.regexp_replace(bare, r"(?U)^\s+|\s+\z", "")
     number = F.when(bare.rlike(r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"), bare.try_cast("double"))
     finite = F.when(F.isnan(number) | (F.abs(number) == float("inf")), None).otherwise(number)
     return F.round(F.coalesce(finite, F.lit(0.0)), 2)

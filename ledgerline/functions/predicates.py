@@ -14,7 +14,7 @@ OPEN_ENDED = [20991231, 20990101, 99991231]
 #: Relative windows as (column, days from, days to) around the data's date.
 WINDOWS = {"began30": ("begin", -30, 0), "began90": ("begin", -90, 0), "ends30": ("end", 0, 30), "ends90": ("end", 0, 90), "ends180": ("end", 0, 180)}
 #: Content types of files that aren't read, against pages that may be tried again.
-FILE_TYPES = ["image/", "application/msword", "application/vnd", "application/zip", "application/octet-stream"]
+FILE_TYPES = ["image/", "application/msword", "application/vnd.openxmlformats", "application/vnd.ms-", "application/rtf", "text/rtf"]
 LEAST_CHARS_PER_PAGE = 50
 
 
@@ -89,7 +89,7 @@ def non_pdf_verdict(content_type: Column, body: Column) -> Column:
     """struct(status, sha256, head): file types are unsupported for good, everything else is an error to retry."""
     is_file = reduce(lambda a, b: a | b, [F.startswith(F.lower(content_type), F.lit(t)) for t in FILE_TYPES])
     return F.struct(
-        F.when(F.coalesce(is_file, F.lit(False)), "unsupported").otherwise("error").alias("status"), F.sha2(body, 256).alias("sha256"), F.left(body.cast("string"), F.lit(300)).alias("head")
+        F.when(F.coalesce(is_file, F.lit(False)), "unsupported").otherwise("error").alias("status"), F.sha2(body, 256).alias("sha256"), F.left(F.trim(F.regexp_replace(F.left(body.cast("string"), F.lit(2000)), r"(?U)\s+", " ")), F.lit(300)).alias("head")
     )
 
 

@@ -115,4 +115,5 @@ def is_verbatim(description: Column, text: Column) -> Column:
 def same_geometry(a: Column, b: Column, least: int = 40) -> Column:
     """Equal after flattening, or one begins with the other's first 40 characters."""
     x, y = (F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " ")) for c in (a, b))
-    return (x == y) | F.startswith(x, F.left(y, F.lit(least))) | F.startswith(y, F.left(x, F.lit(least)))
+    near = F.startswith(x, F.left(y, F.lit(least))) | F.startswith(y, F.left(x, F.lit(least)))
+    return (x == y) | ((x != "") & (y != "") & near)

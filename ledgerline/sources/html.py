@@ -21,12 +21,13 @@ def cell_text(c: Column) -> Column:
 
 
 def grid(pages: DataFrame, html: str = "html") -> DataFrame:
-    """page columns, then the cells of each row with eight cells and more, detail_url and last_page (from the pager)."""
+    """page columns, then the cells of each row with eight cells and more, detail_url and last_page (the largest page that
+    the pager links to; null without one)."""
     table = F.regexp_extract(html, rf"(?is)<table[^>]*\bid=[\"'](?:{'|'.join(GRID_IDS)})[\"'][^>]*>(.*?)</table>", 1)
     foot = F.regexp_extract("_t", r"(?is)<tfoot[^>]*>(.*?)</tfoot>", 1)
-    pages_named = F.transform(F.regexp_extract_all(cell_text(foot), F.lit(r"\d+"), F.lit(0)), lambda x: x.cast("int"))
+    pages_named = F.transform(F.regexp_extract_all(unescaped(foot), F.lit(r"(?i)\bhref=[\"'][^\"']*[?&]page=(\d+)"), F.lit(1)), lambda x: x.cast("int"))
     body = F.regexp_replace("_t", r"(?is)<(tfoot|thead)[^>]*>.*?</\1>", "")
-    rows = pages.withColumn("_t", table).withColumn("last_page", F.coalesce(F.array_max(pages_named), F.lit(1))).withColumn("_row", F.explode(F.regexp_extract_all(body, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))))
+    rows = pages.withColumn("_t", table).withColumn("last_page", F.array_max(pages_named)).withColumn("_row", F.explode(F.regexp_extract_all(body, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))))
     cells = rows.withColumn("_c", F.regexp_extract_all("_row", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1))).where(F.size("_c") >= len(GRID_CELLS))
     link = unescaped(F.regexp_extract("_row", r"(?is)<a[^>]*\bhref=[\"']([^\"']*)[\"']", 1))
     named = [cell_text(F.get("_c", F.lit(k))).alias(n) for k, n in enumerate(GRID_CELLS)]
@@ -44,7 +45,7 @@ def file_links(pages: DataFrame, html: str = "html", pattern: str = r"ViewDocume
 
 def document_list(pages: DataFrame, html: str = "html") -> DataFrame:
     """page columns, documents: name, size and token of each file row, first per token; null where the page is null."""
-    row = r"(?is)<tr[^>]*>\s*<td[^>]*>(?:(?!</td>).)*?ViewDocument\?D=([^\"'&]+)[^>]*>(.*?)</a>\s*</td>\s*<td[^>]*>(.*?)</td>"
+    row = r"(?is)<tr[^>]*>\s*<td[^>]*>(?:(?!</td>).)*?ViewDocument[^\"']*?D=([^\"']+)[^>]*>(.*?)</a>\s*</td>\s*<td[^>]*>(.*?)</td>"
     part = lambda k: F.regexp_extract_all(html, F.lit(row), F.lit(k))
     zipped = F.arrays_zip(part(2).alias("name"), part(3).alias("size"), part(1).alias("token"))
     first = pages.withColumn("_d", zipped).withColumn("_d", F.filter("_d", lambda x, i: F.array_position(F.col("_d.token"), x["token"]) == i + 1))
@@ -52,7 +53,7 @@ def document_list(pages: DataFrame, html: str = "html") -> DataFrame:
     return first.select(*[c for c in pages.columns if c != html], clean.alias("documents"))
 
 
-def options(pages: DataFrame, html: str = "html", skip: tuple[str, ...] = ("", "0", "All")) -> DataFrame:
+def options(pages: DataFrame, html: str = "html", skip: tuple[str, ...] = ("", "ALL-999-000")) -> DataFrame:
     """page columns, name, value of each <option>, without the ones that choose nothing."""
     pattern = r"(?is)<option[^>]*\bvalue=[\"']([^\"']*)[\"'][^>]*>(.*?)</option>"
     pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)).alias("value"), F.regexp_extract_all(html, F.lit(pattern), F.lit(2)).alias("name"))

@@ -13,7 +13,7 @@ def _strings(*names: str) -> T.StructType:
 RECORD_HEADER = ["Document Number", "Document Type", "Entity Code", "Entity Name", "Vendor", "Amount", "Begin Date", "End Date", "Status", "Detail URL", "View URL"]
 RECORD = _strings("doc_number", "doc_type", "entity_code", "entity_name", "vendor", "amount", "begin_date", "end_date", "status", "detail_url", "view_url")
 WATCHED = ["amount", "vendor", "begin_date", "end_date"]
-FINGERPRINT = ["doc_number", "entity_name", "amount", "detail_url", "status"]
+FINGERPRINT = ["doc_number", "entity_name", "status", "doc_type", "detail_url"]
 TWIN = [c for c in RECORD.names if c != "status"]
 
 DOCUMENTS_LOG = "k string, doc string, entity string, n int, seen string, u string, documents array<struct<name:string,size:string,token:string>>"
@@ -28,4 +28,4 @@ OCR_LOG = (
 SUMMARY_LOG = "tok string, doc string, model string, seconds double, unclear boolean, summary string, generated_at string, error string"
 CHANGE_LOG = "key string, doc string, type string, entity string, field string, `from` string, `to` string, seen string, detail_url string"
 #: Append-only enumerations: a code is a place in the list, and places never change.
-DESCRIPTION_SOURCES = ["none", "cover_sheet", "services_clause", "line_items", "cover_sheet_form", "direct_purchase", "purchasing_bureau", "contract_description", "unknown"]
+DESCRIPTION_SOURCES = ["", "line_items", "cover_sheet", "services_clause", "cover_sheet_form", "purchasing_bureau", "direct_purchase", "unknown", "contract_description"]

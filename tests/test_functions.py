@@ -16,8 +16,8 @@ def values(spark, column_of, texts, kind="string"):
 
 
 def test_money(spark):
-    texts = ["$4,920.00", "", "N/A", "NaN", "inf", "  $0.00 ", "-5", "$38,000,000,000.00", "1_000", "1.5d", "1e3", None]
-    assert values(spark, N.money, texts) == [4920.0, 0.0, 0.0, 0.0, 0.0, 0.0, -5.0, 38e9, 1000.0, 0.0, 1000.0, 0.0]
+    texts = ["$4,920.00", "", "N/A", "NaN", "inf", "  $0.00 ", "-5", "$38,000,000,000.00", "1_000", "1.5d", "1e3", None, "1 000"]
+    assert values(spark, N.money, texts) == [4920.0, 0.0, 0.0, 0.0, 0.0, 0.0, -5.0, 38e9, 1000.0, 0.0, 1000.0, 0.0, 0.0]
 
 
 def test_date_int(spark):

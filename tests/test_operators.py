@@ -55,7 +55,7 @@ def frame(spark, rows):
 
 
 def test_exact_twin_and_stale(spark):
-    rows = frame(spark, [record(1), record(2), record(3, status="Expired"), record(4, status="Expired", amount="$2.00"), record(5, status="Expired", detail_url="u2"), record(6, status="Expired", detail_url="")])
+    rows = frame(spark, [record(1), record(2), record(3, status="Expired"), record(4, status="Expired", amount="$2.00", doc_type="X"), record(5, status="Expired", detail_url="u2"), record(6, status="Expired", detail_url="")])
     one = dedup.exact(rows)
     assert rows_of(one, "seq") == [(1,), (3,), (4,), (5,), (6,)]
     two = dedup.without_twins(one)

@@ -91,7 +91,7 @@ def test_reference_maps_state_and_tags(spark, tmp_path):
 
 def test_html(spark):
     cells = "".join(f"<td>{x}</td>" for x in ["A-1", "O4", "1", "Roads &amp; Co", "ACME", "$1", "1/2/2024", "2/3/2024"])
-    page = f'<table id="entitygrid"><tr><th>h</th></tr><tr>{cells}<td><a href="/d?A=1&amp;B=2">x</a></td></tr><tfoot><tr><td>1 2 17</td></tr></tfoot></table>'
+    page = f'<table id="entitygrid"><tr><th>h</th></tr><tr>{cells}<td><a href="/d?A=1&amp;B=2">x</a></td></tr><tfoot><tr><td><a href="?page=17&amp;s=1">17</a> <a href="?page=2">99</a></td></tr></tfoot></table>'
     got = html.grid(spark.createDataFrame([(1, page)], "p int, html string")).collect()
     assert [(r.doc_number, r.entity_name, r.detail_url, r.last_page) for r in got] == [("A-1", "Roads & Co", "/d?A=1&B=2", 17)]
     files = '<tr><td><a href="V/ViewDocument?D=t1">One</a></td><td>1 KB</td></tr><tr><td><a href="V/ViewDocument?D=t1">Again</a></td><td>1 KB</td></tr><tr><td><a href="V/ViewDocument?D=t2">Two</a></td><td>2 KB</td></tr>'
