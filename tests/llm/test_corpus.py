@@ -290,6 +290,16 @@ def test_chat_from_turns_has_no_python(spark, small, capsys):
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
 
 
+def test_pipeline_links_by_five_words_and_four_fifths(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    words = [f"w{i}" for i in range(50)]
+    near = [*words[:25], "other", *words[26:]]  # 43 of 51 shingles of four words, 41 of 51 of five
+    far = [*words[:15], "else", *words[16:35], "more", *words[36:]]  # 36 of 56 of five
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, df, "").collect()} == {1, 3}
+    assert {(r.doc_id, r.component_id) for r in ngram_join.join(df).collect()} == {(1, 1), (2, 2), (3, 3)}
+
+
 def test_pipeline_keeps_clean_documents(spark, small):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{small}/documents.parquet")
