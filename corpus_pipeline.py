@@ -10,7 +10,8 @@ back as the next one's docs. All but the last return the columns of documents. N
 4. decontaminate: documents that hold a benchmark item go.
 5. bpe: token ids of each text as digests, and the digest of the decoded bytes.
 
-Rows with a null doc_id are carried along; in stage 2 they count as one document with the largest id.
+Rows with a null doc_id are carried along. Stage 2 takes each row as a document of its own, also where doc_ids are null (the
+largest) or repeated; of equal doc_ids in a group one row stays.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontaminate, ngram_join, quality, suffix_dedup
+from ledgerline.llm.chunks import LAST_ID
 from ledgerline.llm.storage import materialise
 
 #: Stage 2 links near copies by five words and 0.8; four words and 85 % are the contract of the query op2_ngram_join alone.
@@ -37,10 +39,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.join(docs, size=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
-    # Of a group the smallest doc_id stays: rows are told apart by doc_id, so a repeated one stays or goes as a whole.
-    gone = groups.where("component_id < doc_id or (doc_id is null and component_id is not null)").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    # Rows are numbered, as a null or repeated doc_id doesn't tell them apart; the table keeps the numbers fixed.
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = ngram_join.join(rows.select(F.col("_row").alias("doc_id"), "text"), size=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
+    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id")), "_row")
+    kept = named.groupBy("component_id").agg(F.min(F.struct("_id", "_row")).alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

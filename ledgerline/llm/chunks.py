@@ -22,6 +22,7 @@ from .text import buffers, slices
 CHUNK_BYTES = 4 << 20
 LAST_ID = (1 << 63) - 1  # stands for a null doc_id: larger than every other
 BUCKETS_PER_PARTITION = 4
+PLACE_BITS = 40  # a chunk's number is its partition and the row its first document has there, so chunk + place is a row's own
 
 
 class Chunks:
@@ -34,7 +35,7 @@ class Chunks:
         self.name = f"ledgerline_chunks_{uuid.uuid4().hex}"
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seq = TaskContext.get().partitionId() << 32
+            seq = TaskContext.get().partitionId() << PLACE_BITS
             for batch in batches:
                 data, off = buffers(batch.column(1))
                 ids = batch.column(0).fill_null(LAST_ID)
@@ -44,7 +45,7 @@ class Chunks:
                         [pa.array([seq]), pa.array([ids[i:j].to_pylist()], pa.list_(pa.int64())), pa.array([own.tolist()], pa.list_(pa.int64())), pa.array([data[off[i] : off[j]].tobytes()], pa.binary())],
                         ["chunk", "ids", "ends", "text"],
                     )
-                    seq += 1
+                    seq += j - i
 
         source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         packed = source.mapInArrow(pack, "chunk long, ids array<long>, ends array<long>, text binary")

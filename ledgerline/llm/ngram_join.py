@@ -16,6 +16,9 @@ Over a corpus this takes place in three rounds, each linear in the text:
 3. Every short list that still holds several components is searched as a whole, in groups that cover such lists, large
    ones by pairs of blocks. So no link between components is lost, and within a component nothing is compared any more.
 
+The nodes of both searches are classes, numbered by the row (chunk + place) that stands for them, whatever its doc_id is.
+Only at the end are components put together whose rows share a doc_id, and named by their smallest doc_id.
+
 Sets are compared by 64-bit shingle hashes. Null text is empty; an empty set links with nothing; a null doc_id counts as
 larger than any other; rows with one doc_id are one document to the components. Extra columns are ignored.
 """
@@ -259,7 +262,7 @@ def _frequencies(table: pa.Table) -> pa.Table:
 
 
 ANSWER = "chunk long, bucket long, kind string, blob binary, places array<long>"
-CANDIDATE = "doc_id long, key_a long, key_b long, short array<long>, shingles binary"
+CANDIDATE = "node long, key_a long, key_b long, short array<long>, shingles binary"
 
 
 def _candidates(buckets: int, size: int, percent: int):
@@ -283,7 +286,7 @@ def _candidates(buckets: int, size: int, percent: int):
             h, lv = every[lv > 1], lv[lv > 1]
             short = h[np.lexsort((h, lv))[: common - needed + 1]]
             other = mix(short ^ U64(0x2545F4914F6CDD1D))
-            rows.append((int(ids[k]), int(short.min().astype(np.int64)), int(other.min().astype(np.int64)), short.astype(np.int64), every.tobytes()))
+            rows.append((chunk + k, int(short.min().astype(np.int64)), int(other.min().astype(np.int64)), short.astype(np.int64), every.tobytes()))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         columns = list(zip(*rows, strict=True)) or [()] * 5
         return [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], [f.split()[0] for f in CANDIDATE.split(", ")])]
@@ -294,7 +297,7 @@ def _candidates(buckets: int, size: int, percent: int):
 def _linker(percent: int):
     def work(group: pa.Table) -> pa.Table:
         # One row per document: pairs of blocks may bring one twice.
-        ids = group.column("doc_id").to_numpy()
+        ids = group.column("node").to_numpy()
         _, first = np.unique(ids, return_index=True)
         group = group.take(pa.array(first))
         sets = [np.frombuffer(x, U64) for x in group.column("shingles").to_pylist()]
@@ -308,39 +311,47 @@ def _linker(percent: int):
 def _blocks(members: DataFrame, group: int) -> DataFrame:
     """Deal each key's members over salted blocks of about `group`."""
     counts = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    salt = F.pmod(F.xxhash64("doc_id", "key"), F.ceil(F.col("n") / group))
-    return members.join(counts, "key").select("key", salt.cast("int").alias("i"), F.lit(0).alias("j"), "doc_id")
+    salt = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("n") / group))
+    return members.join(counts, "key").select("key", salt.cast("int").alias("i"), F.lit(0).alias("j"), "node")
 
 
 def _block_pairs(members: DataFrame, group: int) -> DataFrame:
     """Deal each key's members over all pairs of blocks: every two members of a key meet."""
     counts = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     half = max(1, group // 2)
-    dealt = members.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    dealt = members.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     small = F.col("n") <= group
     other = F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return dealt.select("key", "doc_id", "n", "own", other.alias("other"), small.alias("small")).select(
-        "key", F.when(F.col("small"), 0).otherwise(F.least("own", "other")).alias("i"), F.when(F.col("small"), 0).otherwise(F.greatest("own", "other")).alias("j"), "doc_id"
+    return dealt.select("key", "node", "n", "own", other.alias("other"), small.alias("small")).select(
+        "key", F.when(F.col("small"), 0).otherwise(F.least("own", "other")).alias("i"), F.when(F.col("small"), 0).otherwise(F.greatest("own", "other")).alias("j"), "node"
     )
 
 
 def _search(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of components (a, b) that a link joins, from the documents of each block. sets: doc_id, component, shingles."""
+    """Pairs of components (a, b) that a link joins, from the documents of each block. sets: node, component, shingles."""
     # Few bytes can be much work here: the number of tasks is set, not derived from sizes.
     tasks = 2 * int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = dealt.join(sets, "doc_id").select("key", "i", "j", "doc_id", "component", "shingles").repartition(tasks, "key", "i", "j")
+    rows = dealt.join(sets, "node").select("key", "i", "j", "node", "component", "shingles").repartition(tasks, "key", "i", "j")
     return rows.groupBy("key", "i", "j").applyInArrow(_linker(percent), "a long, b long")
 
 
 def _covering_groups(lists: DataFrame) -> DataFrame:
-    """key, doc_id: groups that hold every list as a whole, most of them once. lists: elem, n, doc_id.
+    """key, node: groups that hold every list as a whole, most of them once. lists: elem, n, node.
 
     Each document names its longest list; a list joins the longest one that its documents name, and a group is all
     documents of the lists that joined. Lists of one group of near copies differ little, so they end up together.
     """
-    named = lists.groupBy("doc_id").agg(F.max(F.struct("n", "elem")).alias("longest"))
-    target = lists.join(named, "doc_id").groupBy("elem").agg(F.max("longest").alias("target"))
-    return lists.join(target, "elem").select(F.col("target.elem").alias("key"), "doc_id").distinct()
+    named = lists.groupBy("node").agg(F.max(F.struct("n", "elem")).alias("longest"))
+    target = lists.join(named, "node").groupBy("elem").agg(F.max("longest").alias("target"))
+    return lists.join(target, "elem").select(F.col("target.elem").alias("key"), "node").distinct()
+
+
+def _wider(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """`rows` with the components that `links` (a, b: components) put together as one."""
+    if links.isEmpty():
+        return rows
+    wider = components(links).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+    return rows.join(wider, "component", "left").withColumn("component", F.coalesce("wider", "component")).drop("wider")
 
 
 def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
@@ -359,27 +370,36 @@ def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int =
         found = materialise(chunks.answered(answers, _candidates(chunks.buckets, size, percent), CANDIDATE), "ngram-candidates")
     finally:
         chunks.drop()
-    apart = found.select("doc_id", F.col("doc_id").alias("component"), "shingles")
-    both = found.select(F.col("key_a").alias("key"), "doc_id").union(found.select(F.col("key_b").alias("key"), "doc_id"))
+    apart = found.select("node", F.col("node").alias("component"), "shingles")
+    both = found.select(F.col("key_a").alias("key"), "node").union(found.select(F.col("key_b").alias("key"), "node"))
     near = materialise(_search(_blocks(both, group), apart, percent), "ngram-links")
     joined = materialise(components(near), "ngram-components")
 
     # What is left: short lists with several components, each set of documents once.
-    known = found.select("doc_id", F.explode("short").alias("elem")).join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "elem", F.coalesce("component", "doc_id").alias("component"))
+    known = found.select("node", F.explode("short").alias("elem")).join(joined, "node", "left").select("node", "elem", F.coalesce("component", "node").alias("component"))
     lists = known.groupBy("elem").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
     )
     open_lists = lists.where("low < high").groupBy("n", "x", "y").agg(F.min("elem").alias("elem")).select("elem", "n")
-    members = materialise(known.join(open_lists, "elem").select("elem", "n", "doc_id"), "ngram-open")
-    labelled = found.select("doc_id", "shingles").join(members.select("doc_id").distinct(), "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"), "shingles")
+    members = materialise(known.join(open_lists, "elem").select("elem", "n", "node"), "ngram-open")
+    labelled = found.select("node", "shingles").join(members.select("node").distinct(), "node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "shingles")
     far = materialise(_search(_block_pairs(_covering_groups(members), group), labelled, percent), "ngram-links")
 
-    # A class takes the component of the document that stands for it, as the second search has joined it with others.
-    labels = classes.select("sig_a", "sig_b", "n_shingles", F.col("doc_id").alias("node")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    if not far.isEmpty():
-        wider = components(far).select(F.col("node").alias("component"), F.col("component").alias("wider"))
-        labels = labels.join(wider, "component", "left").withColumn("component", F.coalesce("wider", "component"))
-    labels = labels.select("sig_a", "sig_b", "n_shingles", "component")
-    real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    out = rows.join(labels, ["sig_a", "sig_b", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
-    return out.select(real("doc_id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+    # A class takes the component of the row that stands for it, as the second search has joined it with others.
+    labels = classes.select("sig_a", "sig_b", "n_shingles", "doc_id", (F.col("chunk") + F.col("place")).alias("node")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labels = _wider(labels, far).select("sig_a", "sig_b", "n_shingles", "doc_id", "component")
+    # Rows of one doc_id in different classes put their components together.
+    held = materialise(sets.select("sig_a", "sig_b", "n_shingles", "doc_id").distinct().join(labels.drop("doc_id"), ["sig_a", "sig_b", "n_shingles"]).select("doc_id", "component").distinct(), "ngram-held")
+    shared = held.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("high")).where("a < high")
+    same = materialise(held.join(shared, "doc_id").where("component > a").select("a", F.col("component").alias("b")), "ngram-links")
+    labels = materialise(_wider(labels, same), "ngram-labels")
+    # The row that stands for a class has its smallest doc_id.
+    least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    labels = labels.join(least, "component").select("sig_a", "sig_b", "n_shingles", "component_id")
+    full = sets.join(labels, ["sig_a", "sig_b", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    # An empty set has the component of the other rows of its doc_id, if there are any.
+    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles")
+    by_id = _wider(held, same).join(least, "component").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    out = full.unionByName(none.join(by_id, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c)).alias(c)
+    return out.select(real("doc_id"), "n_shingles", real("component_id"))

@@ -70,6 +70,20 @@ def test_ngram_join_chains_near_the_threshold(spark):
     assert ngram_join.join(no_documents(spark)).count() == 0
 
 
+@pytest.mark.parametrize("group", [256, 4])
+def test_ngram_join_with_null_and_repeated_ids(spark, group):
+    rnd = random.Random(8)
+    text = lambda: " ".join(rnd.choice("abcdefghijklmnopqrst") + str(rnd.randrange(30)) for _ in range(80))
+    rows = []
+    for i in range(12):
+        t = text()
+        rows += [(i, t), ([None, 100, 101][i % 3] if i < 9 else 200 + i, t + " more")]
+    rows += [(100, None), (101, ""), (None, None), (300, text()), (301, None), (300, text())]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), group=group)
+    big = lambda x: LAST if x is None else x
+    assert sorted((big(r.doc_id), r.n_shingles, big(r.component_id)) for r in got.collect()) == brute_join(rows)
+
+
 def test_divide_skip_counts_like_a_scan():
     import numpy as np
 
@@ -300,6 +314,15 @@ def test_pipeline_links_by_five_words_and_four_fifths(spark):
     assert {(r.doc_id, r.component_id) for r in ngram_join.join(df).collect()} == {(1, 1), (2, 2), (3, 3)}
 
 
+def test_pipeline_tells_rows_of_null_and_repeated_ids_apart(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(1, text("a")), (None, text("a") + " x"), (None, text("b")), (None, text("c")), (None, text("c")), (5, text("d")), (5, text("e") + " x"), (4, text("e")), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each_group(spark, df, "").collect()]
+    assert Counter(got) == Counter([(1, text("a")), (None, text("b")), (None, text("c")), (5, text("d")), (4, text("e")), (None, None), (None, None)])
+
+
 def test_pipeline_keeps_clean_documents(spark, small):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{small}/documents.parquet")
