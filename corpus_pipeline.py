@@ -2,7 +2,7 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it as Parquet in the shared folder and reads it
 back as the next one's docs. All but the last return the columns of documents. No stage can be told in SQL as a whole
-(trained trees, hashes of token ids), so ORACLE_SQL is None and tests/llm hold brute-force versions.
+(trained trees, hashes of token ids), so ORACLE_SQL is None; tests/llm hold brute-force versions of operators, not of `run`.
 
 1. quality: documents that the classifier rejects go.
 2. ngram_join: of each group of documents linked at five words and 0.8 the one with the smallest doc_id stays.

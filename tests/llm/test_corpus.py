@@ -268,6 +268,22 @@ def test_url_models_learn_and_equal_brute_force(spark):
         assert np.isclose(np.exp(url_filter.log_likelihoods(counts))[code], brute(ctx, s))
 
 
+def test_url_models_count_every_labelled_url(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(2)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(8))
+    good, bad = [f"{word('abcd')}.org/x" for _ in range(40)], [f"{word('cdxyz')}.com/de/x" for _ in range(40)]
+    free = [f"{word('abcdxyz')}.net/" for _ in range(20)]
+    rows = [(i, "http://" + u) for i, u in enumerate([*good, *bad, *free])]
+    got = {r.page_id: r.score for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string").repartition(3), URL_RULES).collect()}
+    counts = np.zeros((2, url_filter.BASE ** (url_filter.ORDER + 1)), np.int64)
+    for k, urls in enumerate((good, bad)):
+        np.add.at(counts[k], url_filter._codes(*url_filter._symbols(pa.array(urls)), url_filter.ORDER), 1)
+    assert np.allclose([got[80 + k] for k in range(20)], url_filter.Ratio(*counts).scores(pa.array(free)))
+
+
 SCHEMAS = {"add": {"required": ["a"], "properties": {"a": {"type": "integer", "minimum": 0}, "b": {"type": "number"}, "unit": {"type": "string", "enum": ["m", "km"]}}, "additionalProperties": False}}
 
 
