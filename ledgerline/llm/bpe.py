@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 
 from .text import buffers, ranges, slices, span_hashes
 
-WORD_CACHE = 600_000  # distinct pre-tokens kept by a worker; emptied when full
-AT_ONCE = 4 << 20  # bytes of text encoded together
-PAIR_CACHE = 500_000
+WORD_CACHE = 300_000  # distinct pre-tokens kept by a worker; emptied when full
+AT_ONCE = 512 << 10  # bytes of text encoded together
+PAIR_CACHE = 100_000
+NEVER = (1 << 31) - 1  # above every rank
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -41,7 +43,7 @@ class Encoder:
         self.tokens = {v: k for k, v in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._spines: dict[int, list[tuple[int, int]]] = {}
+        self._spines: dict[int, array] = {}
 
     def merged(self, piece: bytes, below: int = 1 << 60) -> list[int]:
         """The plain definition: merge the neighbours of lowest rank, leftmost first, until none is ranked under `below`."""
@@ -54,17 +56,17 @@ class Encoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [ranks[p] for p in parts]
 
-    def _spine(self, token: int, right: bool) -> list[tuple[int, int]]:
-        """The tokens that stand at one edge while `token` is merged together, each with the rank that uses it up.
+    def _spine(self, token: int, right: bool) -> array:
+        """The tokens that stand at one edge while `token` is merged together, each followed by the rank that uses it up.
 
         Byte by byte up to the token itself, which nothing uses up. Empty if the merges don't end in this one token.
         """
         key = token if right else ~token
         found = self._spines.get(key)
         if found is None:
-            found, x, used = [], token, 1 << 60
+            found, x, used = [], token, NEVER
             while True:
-                found.append((x, used))
+                found += (used, x)
                 if len(self.tokens[x]) == 1:
                     break
                 parts = self.merged(self.tokens[x], self.ranks[self.tokens[x]])
@@ -72,30 +74,34 @@ class Encoder:
                     found = []
                     break
                 used, x = x, parts[right]
-            found = self._spines[key] = found[::-1]
+            found = self._spines[key] = array("i", found[::-1])
         return found
 
-    def _pair(self, a: int, b: int) -> bool:
+    def settle(self, a: int, b: int) -> bool:
         """Whether the two tokens stay two: no token at a's right edge merges with one at b's left edge while both stand.
 
         Merges come in the order of their ranks; of equal ones the left one is first.
         """
+        xs, ys, i, k, ok = self._spine(a, True), self._spine(b, False), 0, 0, True
+        while ok:
+            x, x_used, y, y_used = xs[i], xs[i + 1], ys[k], ys[k + 1]
+            rank = self.ranks.get(self.tokens[x] + self.tokens[y])
+            ok = rank is None or rank >= x_used or rank > y_used
+            if x_used <= y_used:
+                if i + 2 == len(xs):
+                    break
+                i += 2
+            else:
+                k += 2
+        return ok
+
+    def _pair(self, a: int, b: int) -> bool:
+        """`settle`, remembered."""
         ok = self._pairs.get((a, b))
         if ok is None:
             if len(self._pairs) >= PAIR_CACHE:
                 self._pairs.clear()
-            xs, ys, i, k, ok = self._spine(a, True), self._spine(b, False), 0, 0, True
-            while ok:
-                (x, x_used), (y, y_used) = xs[i], ys[k]
-                rank = self.ranks.get(self.tokens[x] + self.tokens[y])
-                ok = rank is None or rank >= x_used or rank > y_used
-                if x_used <= y_used:
-                    if i + 1 == len(xs):
-                        break
-                    i += 1
-                else:
-                    k += 1
-            self._pairs[a, b] = ok
+            ok = self._pairs[a, b] = self.settle(a, b)
         return ok
 
     def extend(self, piece: bytes, last: list[int]) -> list[int]:
@@ -180,7 +186,7 @@ class Splitter:
         """0 other, 1 letter, 2 number, 3 white space, for every code point."""
         if cls._classes is None:
             table = np.zeros(0x110000, np.uint8)
-            every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+            every = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)]).astype("<u4").tobytes().decode("utf-32-le")
             for k, kind in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\s+")):
                 for m in regex.finditer(kind, every):
                     a, b = ord(every[m.start()]), ord(every[m.end() - 1])
@@ -313,7 +319,7 @@ class Batch:
         miss = np.flatnonzero(self.pair_keys[slot] != key)
         if len(miss):
             unique, first, back = np.unique(key[miss], return_index=True, return_inverse=True)
-            pair, reachable = self.enc._pair, self._reachable
+            pair, reachable = self.enc.settle, self._reachable
             t = token[miss[first]]
             found = np.fromiter((pair(a, b) for a, b in zip(before[miss[first]].tolist(), t.tolist(), strict=True)), bool, len(unique)) & reachable(t)
             at = slot[miss[first]]

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import location, materialise, remove
+from .storage import forget, materialise
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and component (the smallest node it reaches) for each node of `edges` (a, b: long, not null).
 
     Each star round points every neighbour at the smallest one. Rows never exceed the edges, groups are reduced by min()
-    before they are joined back, and the number of rounds grows with the logarithm of the longest path.
+    before they are joined back, and the number of rounds grows with the logarithm of the longest path. The result reads the
+    last round's table, which `storage.forget` deletes.
     """
-    spark = edges.sparkSession
     links = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while True:
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,9 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
         done = materialise(small, "links")
         digest = lambda t: t.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         same = digest(done) == digest(links)
-        if not links.isEmpty():
-            remove(spark, location(links))
+        forget(links)
         links = done
         if same:
             break
-    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct())
+    out = links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct())
+    out._scratch_path = links._scratch_path
+    return out

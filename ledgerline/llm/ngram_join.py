@@ -13,19 +13,25 @@ Over a corpus this takes place in three rounds, each linear in the text:
    others - the rarest - are the short lists: linked documents share at least one of those.
 2. Groups by two min-hashes of the short lists find most links and join near copies to components. A large group is dealt
    over blocks by a salt; blocks meet through the other min-hash.
-3. Every short list that still holds several components is searched as a whole, in groups that cover such lists, large
-   ones by pairs of blocks. So no link between components is lost, and within a component nothing is compared any more.
+3. Every short list that still holds several components is searched as a whole, in groups that cover such lists. Large ones
+   are split by the logarithm of the sets' sizes (linked sets are at most one step apart), and what is still large is
+   searched by pairs of blocks. So no link between components is lost, and within a component nothing is compared any more.
+
+`join` gives the components, `links` all links between classes, `one_of_each` the rows that stand for their components.
 
 The nodes of both searches are classes, numbered by the row (chunk + place) that stands for them, whatever its doc_id is.
 Only at the end are components put together whose rows share a doc_id, and named by their smallest doc_id.
 
 Sets are compared by 64-bit shingle hashes. Null text is empty; an empty set links with nothing; a null doc_id counts as
-larger than any other; rows with one doc_id are one document to the components. Extra columns are ignored.
+larger than any other; rows with one doc_id are one document to the components of `join`. Extra columns are ignored.
+Joins by a key that many rows may share deal those rows by a salt; the rows of one class meet its component in a join
+that the adaptive engine splits.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -34,14 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import LAST_ID, Chunks, gathered, pack, unpack
+from .chunks import LAST_ID, Chunks, pack, unpack
 from .components import components
-from .storage import materialise
+from .storage import forget, materialise
 from .text import BLOCK_BYTES, U64, mix, shingles, slices
 
 SIZE = 4
 PERCENT = 85
 GROUP = 256  # documents searched in one block
+SALTS = 16  # tasks that a hot key's rows are dealt over in a join
 LONG_LIST_COST = 0.005  # DivideSkip's mu: what a probe of a long list costs against a step of the heap
 
 
@@ -133,6 +140,13 @@ def linked(a: int, b: int, shared: int, percent: int) -> bool:
     return shared > 0 and 100 * shared >= percent * (a + b - shared)
 
 
+def every_link(sets: list[np.ndarray], percent: int) -> list[tuple[int, int, int]]:
+    """All links of a group: two places, the smaller one first, and the number of shared shingles."""
+    index = InvertedIndex(sets)
+    found = ((q, doc, shared) for q in range(len(sets)) for doc, shared in index.search(q, overlap_needed(index.sizes[q], percent)).items() if index.sizes[q])
+    return [(q, doc, shared) for q, doc, shared in found if q < doc and linked(index.sizes[q], index.sizes[doc], shared, percent)]
+
+
 def join_group(sets: list[np.ndarray], joined: list[int], percent: int) -> list[tuple[int, int]]:
     """New links that connect documents of different components; stops once there is one component.
 
@@ -262,7 +276,12 @@ def _frequencies(table: pa.Table) -> pa.Table:
 
 
 ANSWER = "chunk long, bucket long, kind string, blob binary, places array<long>"
-CANDIDATE = "node long, key_a long, key_b long, short array<long>, shingles binary"
+CANDIDATE = "node long, key_a long, key_b long, step long, short array<long>, shingles binary"
+
+
+def size_step(n: int, percent: int) -> int:
+    """The size's place on a logarithmic scale: sets that link are at most one step apart."""
+    return n if percent >= 100 else int(math.log(n) / (math.log(100 / percent) * (1 + 1e-9)))
 
 
 def _candidates(buckets: int, size: int, percent: int):
@@ -286,21 +305,24 @@ def _candidates(buckets: int, size: int, percent: int):
             h, lv = every[lv > 1], lv[lv > 1]
             short = h[np.lexsort((h, lv))[: common - needed + 1]]
             other = mix(short ^ U64(0x2545F4914F6CDD1D))
-            rows.append((chunk + k, int(short.min().astype(np.int64)), int(other.min().astype(np.int64)), short.astype(np.int64), every.tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-        columns = list(zip(*rows, strict=True)) or [()] * 5
+            rows.append((chunk + k, int(short.min().astype(np.int64)), int(other.min().astype(np.int64)), size_step(b - a, percent), short.astype(np.int64), every.tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+        columns = list(zip(*rows, strict=True)) or [()] * 6
         return [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], [f.split()[0] for f in CANDIDATE.split(", ")])]
 
     return work
 
 
+def _members(group: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """One row per class - pairs of blocks may bring one twice - and the shingles of each."""
+    _, first = np.unique(group.column("node").to_numpy(), return_index=True)
+    group = group.take(pa.array(first))
+    return group, [np.frombuffer(x, U64) for x in group.column("shingles").to_pylist()]
+
+
 def _linker(percent: int):
     def work(group: pa.Table) -> pa.Table:
-        # One row per document: pairs of blocks may bring one twice.
-        ids = group.column("node").to_numpy()
-        _, first = np.unique(ids, return_index=True)
-        group = group.take(pa.array(first))
-        sets = [np.frombuffer(x, U64) for x in group.column("shingles").to_pylist()]
+        group, sets = _members(group)
         known = group.column("component").to_pylist()
         out = join_group(sets, known, percent)
         return pa.table({"a": pa.array([known[x] for x, _ in out], pa.int64()), "b": pa.array([known[y] for _, y in out], pa.int64())})
@@ -308,42 +330,66 @@ def _linker(percent: int):
     return work
 
 
+def _every_linker(percent: int):
+    def work(group: pa.Table) -> pa.Table:
+        group, sets = _members(group)
+        nodes = group.column("node").to_pylist()
+        out = every_link(sets, percent)
+        return pa.table({"a": pa.array([nodes[x] for x, _, _ in out], pa.int64()), "b": pa.array([nodes[y] for _, y, _ in out], pa.int64()), "shared": pa.array([n for _, _, n in out], pa.int64())})
+
+    return work
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """`rows` (with node) joined with `table` by `key`; a hot key's rows are dealt over SALTS tasks."""
+    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"]).drop("_salt")
+
+
 def _blocks(members: DataFrame, group: int) -> DataFrame:
     """Deal each key's members over salted blocks of about `group`."""
     counts = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     salt = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("n") / group))
-    return members.join(counts, "key").select("key", salt.cast("int").alias("i"), F.lit(0).alias("j"), "node")
+    return _looked_up(members, counts, "key").select("key", F.lit(0).cast("long").alias("step"), salt.cast("int").alias("i"), F.lit(0).alias("j"), "node")
 
 
 def _block_pairs(members: DataFrame, group: int) -> DataFrame:
-    """Deal each key's members over all pairs of blocks: every two members of a key meet."""
+    """Deal each key's members so that every two that may link meet. members: key, node, step.
+
+    A small group is one block. A large one has a part for each size step, with the members of that step and the one
+    below, and a part that is still large is dealt over all pairs of its blocks.
+    """
     counts = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    sized = _looked_up(members, counts, "key")
+    small = sized.where(F.col("n") <= group).select("key", F.lit(-1).cast("long").alias("step"), F.lit(0).alias("i"), F.lit(0).alias("j"), "node")
+    parts = sized.where(F.col("n") > group).select("key", "node", F.col("step").alias("own_step"), F.explode(F.array("step", F.col("step") + 1)).alias("step"))
+    # A part that only has members of the step below is searched there.
+    part_counts = parts.groupBy("key", "step").agg(F.count("*").alias("n"), F.max("own_step").alias("top")).where("n > 1 and top = step")
     half = max(1, group // 2)
-    dealt = members.join(counts, "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    small = F.col("n") <= group
-    other = F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return dealt.select("key", "node", "n", "own", other.alias("other"), small.alias("small")).select(
-        "key", F.when(F.col("small"), 0).otherwise(F.least("own", "other")).alias("i"), F.when(F.col("small"), 0).otherwise(F.greatest("own", "other")).alias("j"), "node"
-    )
+    named = parts.select("node", F.struct("key", "step").alias("part"))
+    dealt = _looked_up(named, part_counts.select(F.struct("key", "step").alias("part"), "n"), "part")
+    dealt = dealt.withColumn("blocks", F.when(F.col("n") <= group, 1).otherwise(F.ceil(F.col("n") / half)).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    large = dealt.select("part.key", "part.step", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return small.unionByName(large.select("key", "step", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node"))
 
 
-def _search(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of components (a, b) that a link joins, from the documents of each block. sets: node, component, shingles."""
+def _search(dealt: DataFrame, sets: DataFrame, linker, schema: str) -> DataFrame:
+    """What `linker` finds in each block. sets: node, component, shingles; only the blocks' members carry them."""
     # Few bytes can be much work here: the number of tasks is set, not derived from sizes.
     tasks = 2 * int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = dealt.join(sets, "node").select("key", "i", "j", "node", "component", "shingles").repartition(tasks, "key", "i", "j")
-    return rows.groupBy("key", "i", "j").applyInArrow(_linker(percent), "a long, b long")
+    rows = dealt.join(sets, "node").select("key", "step", "i", "j", "node", "component", "shingles").repartition(tasks, "key", "step", "i", "j")
+    return rows.groupBy("key", "step", "i", "j").applyInArrow(linker, schema)
 
 
 def _covering_groups(lists: DataFrame) -> DataFrame:
-    """key, node: groups that hold every list as a whole, most of them once. lists: elem, n, node.
+    """key, node, step: groups that hold every list as a whole, most of them once. lists: elem, n, node, step.
 
     Each document names its longest list; a list joins the longest one that its documents name, and a group is all
     documents of the lists that joined. Lists of one group of near copies differ little, so they end up together.
     """
     named = lists.groupBy("node").agg(F.max(F.struct("n", "elem")).alias("longest"))
     target = lists.join(named, "node").groupBy("elem").agg(F.max("longest").alias("target"))
-    return lists.join(target, "elem").select(F.col("target.elem").alias("key"), "node").distinct()
+    return _looked_up(lists, target, "elem").select(F.col("target.elem").alias("key"), "node", "step").distinct()
 
 
 def _wider(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -354,52 +400,119 @@ def _wider(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(wider, "component", "left").withColumn("component", F.coalesce("wider", "component")).drop("wider")
 
 
-def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links, the document's own included)."""
-    chunks = Chunks(docs)
-    try:
-        rows = materialise(chunks.each(_classes(size), CLASS), "ngram-sets")
-        sets = rows.where("n_shingles > 0")
-        first = F.min(F.struct("doc_id", "chunk", "place")).alias("first")
-        classes = materialise(sets.groupBy("sig_a", "sig_b", "n_shingles").agg(first).select("sig_a", "sig_b", "n_shingles", "first.*"), "ngram-classes")
-        chosen = classes.groupBy("chunk").agg(F.collect_list("place").alias("places")).select(
-            "chunk", F.lit(-1).cast("long").alias("bucket"), F.lit("chosen").alias("kind"), F.lit(None).cast("binary").alias("blob"), "places"
-        )
-        blobs = chunks.answered(chosen, _frequency_blobs(chunks.buckets, size), "bucket long, chunk long, blob binary")
-        answers = gathered(blobs, _frequencies, ANSWER).unionByName(chosen)
-        found = materialise(chunks.answered(answers, _candidates(chunks.buckets, size, percent), CANDIDATE), "ngram-candidates")
-    finally:
-        chunks.drop()
+def _candidate_sets(chunks: Chunks, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Round 1: rows (CLASS), classes (their signature and first row) and the candidates of round 2."""
+    rows = materialise(chunks.each(_classes(size), CLASS), "ngram-sets")
+    first = F.min(F.struct("doc_id", "chunk", "place")).alias("first")
+    classes = materialise(rows.where("n_shingles > 0").groupBy("sig_a", "sig_b", "n_shingles").agg(first).select("sig_a", "sig_b", "n_shingles", "first.*"), "ngram-classes")
+    chosen = classes.groupBy("chunk").agg(F.collect_list("place").alias("places")).select(
+        "chunk", F.lit(-1).cast("long").alias("bucket"), F.lit("chosen").alias("kind"), F.lit(None).cast("binary").alias("blob"), "places"
+    )
+    blobs = chunks.answered(chosen, _frequency_blobs(chunks.buckets, size), "bucket long, chunk long, blob binary")
+    answers = chunks.gathered(blobs, _frequencies, ANSWER).unionByName(chosen)
+    found = materialise(chunks.answered(answers, _candidates(chunks.buckets, size, percent), CANDIDATE), "ngram-candidates")
+    return rows, classes, found
+
+
+def _labelled(classes: DataFrame, found: DataFrame, percent: int, group: int) -> DataFrame:
+    """Rounds 2 and 3: the classes with their component, a written table."""
     apart = found.select("node", F.col("node").alias("component"), "shingles")
     both = found.select(F.col("key_a").alias("key"), "node").union(found.select(F.col("key_b").alias("key"), "node"))
-    near = materialise(_search(_blocks(both, group), apart, percent), "ngram-links")
-    joined = materialise(components(near), "ngram-components")
+    near = materialise(_search(_blocks(both, group), apart, _linker(percent), "a long, b long"), "ngram-links")
+    made = components(near)
+    joined = materialise(made, "ngram-components")
+    forget(near, made)
 
     # What is left: short lists with several components, each set of documents once.
-    known = found.select("node", F.explode("short").alias("elem")).join(joined, "node", "left").select("node", "elem", F.coalesce("component", "node").alias("component"))
+    known = found.select("node", "step", F.explode("short").alias("elem")).join(joined, "node", "left").select("node", "step", "elem", F.coalesce("component", "node").alias("component"))
     lists = known.groupBy("elem").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
     )
     open_lists = lists.where("low < high").groupBy("n", "x", "y").agg(F.min("elem").alias("elem")).select("elem", "n")
-    members = materialise(known.join(open_lists, "elem").select("elem", "n", "node"), "ngram-open")
+    members = materialise(_looked_up(known, open_lists, "elem").select("elem", "n", "node", "step"), "ngram-open")
     labelled = found.select("node", "shingles").join(members.select("node").distinct(), "node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "shingles")
-    far = materialise(_search(_block_pairs(_covering_groups(members), group), labelled, percent), "ngram-links")
-
+    far = materialise(_search(_block_pairs(_covering_groups(members), group), labelled, _linker(percent), "a long, b long"), "ngram-links")
     # A class takes the component of the row that stands for it, as the second search has joined it with others.
-    labels = classes.select("sig_a", "sig_b", "n_shingles", "doc_id", (F.col("chunk") + F.col("place")).alias("node")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labels = _wider(labels, far).select("sig_a", "sig_b", "n_shingles", "doc_id", "component")
+    labels = classes.withColumn("node", F.col("chunk") + F.col("place")).join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    out = materialise(_wider(labels, far), "ngram-labels")
+    forget(members, far, joined)
+    return out
+
+
+def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links, the document's own included)."""
+    chunks = Chunks(docs)
+    try:
+        rows, classes, found = _candidate_sets(chunks, size, percent)
+    finally:
+        chunks.drop()
+    labelled = _labelled(classes, found, percent, group)
+    forget(found)
+    sig = ["sig_a", "sig_b", "n_shingles"]
+    sets = rows.where("n_shingles > 0")
     # Rows of one doc_id in different classes put their components together.
-    held = materialise(sets.select("sig_a", "sig_b", "n_shingles", "doc_id").distinct().join(labels.drop("doc_id"), ["sig_a", "sig_b", "n_shingles"]).select("doc_id", "component").distinct(), "ngram-held")
+    held = materialise(sets.select(*sig, "doc_id").distinct().join(labelled.select(*sig, "component"), sig).select("doc_id", "component").distinct(), "ngram-held")
     shared = held.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("high")).where("a < high")
     same = materialise(held.join(shared, "doc_id").where("component > a").select("a", F.col("component").alias("b")), "ngram-links")
-    labels = materialise(_wider(labels, same), "ngram-labels")
+    labels = materialise(_wider(labelled.select(*sig, "doc_id", "component"), same), "ngram-named")
     # The row that stands for a class has its smallest doc_id.
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = labels.join(least, "component").select("sig_a", "sig_b", "n_shingles", "component_id")
-    full = sets.join(labels, ["sig_a", "sig_b", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    full = sets.join(labels.join(least, "component").select(*sig, "component_id"), sig).select("doc_id", "n_shingles", "component_id")
     # An empty set has the component of the other rows of its doc_id, if there are any.
     none = rows.where("n_shingles = 0").select("doc_id", "n_shingles")
     by_id = _wider(held, same).join(least, "component").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = full.unionByName(none.join(by_id, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
     real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c)).alias(c)
-    return out.select(real("doc_id"), "n_shingles", real("component_id"))
+    result = materialise(out.select(real("doc_id"), "n_shingles", real("component_id")), "ngram-result")
+    forget(rows, classes, labelled, held, same, labels)
+    return result
+
+
+def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+    """All links: (a, b, shared) between classes of equal sets, and the members (doc_id, class, n_shingles) of the classes.
+
+    A class is named by the row that stands for it. The links of a group of near copies are as many as its pairs of classes;
+    copies aren't expanded.
+    """
+    chunks = Chunks(docs)
+    try:
+        rows, classes, found = _candidate_sets(chunks, size, percent)
+    finally:
+        chunks.drop()
+    known = found.select("node", "step", F.explode("short").alias("elem"))
+    lists = known.groupBy("elem").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    several = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("elem").alias("elem")).select("elem", "n")
+    members = materialise(_looked_up(known, several, "elem").select("elem", "n", "node", "step"), "ngram-lists")
+    sets = found.select("node", F.col("node").alias("component"), "shingles")
+    out = materialise(_search(_block_pairs(_covering_groups(members), group), sets, _every_linker(percent), "a long, b long, shared long").distinct(), "ngram-every-link")
+    sig = ["sig_a", "sig_b", "n_shingles"]
+    named = rows.where("n_shingles > 0").join(classes.select(*sig, (F.col("chunk") + F.col("place")).alias("class")), sig)
+    member = materialise(named.select(F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")).alias("doc_id"), "class", "n_shingles"), "ngram-members")
+    forget(rows, classes, found, members)
+    return out, member
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stand for their components: the one of the smallest doc_id stays.
+
+    Each row is a document of its own here, also where doc_ids are null (the largest) or repeated; of equal ones in a
+    component the first row stays. Rows with an empty set all stay. Texts don't move: they are asked for by chunk.
+    """
+    chunks = Chunks(docs, carry=True)
+    try:
+        rows, classes, found = _candidate_sets(chunks, size, percent)
+        labelled = _labelled(classes, found, percent, group)
+        first = labelled.groupBy("component").agg(F.min(F.struct("doc_id", "chunk", "place")).alias("first")).select("first.chunk", "first.place")
+        kept = first.union(rows.where("n_shingles = 0").select("chunk", "place")).groupBy("chunk").agg(F.collect_list("place").alias("places"))
+
+        def work(chunk: int, ids: np.ndarray, off: np.ndarray, text: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, dict]:
+            mask = np.zeros(len(ids), bool)
+            for places in answers.column("places").to_pylist():
+                mask[places] = True
+            return mask, {}
+
+        out = materialise(chunks.rewritten(kept, work), "ngram-kept")
+        forget(rows, classes, found, labelled)
+        return out
+    finally:
+        chunks.drop()

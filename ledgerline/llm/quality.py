@@ -1,9 +1,9 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
 Statistics are counted on the whole text where it lies. Training takes place on the driver, on at most about
-MAX_TRAINING_ROWS labelled rows chosen by a hash of doc_id (the documented bound); everything else covers all rows. Trees
-are complete, flattened into arrays of features, thresholds and leaf values, and traversed for all rows of a batch at once,
-level by level.
+MAX_TRAINING_ROWS labelled documents chosen by a hash of doc_id (the documented bound; of a doc_id's rows one, by a hash of
+its text), for which alone statistics are gathered; everything else covers all rows. Trees are complete, flattened into
+arrays of features, thresholds and leaf values, and traversed for all rows of a batch at once, level by level.
 
 Labels, lang, source and doc_id are never inputs of a score. Null text counts as empty; equal texts get equal scores. Rows
 whose label is null are unlabelled; several labels of one doc_id count by their mean (0.5 and more is 1). Without labelled
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import forget, materialise
 from .text import BLOCK_BYTES, NOT_SPACE, buffers, slices, span_hashes, words
 
 MAX_TRAINING_ROWS = 60_000
@@ -121,7 +121,7 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and features (array<float>) of each document."""
+    """doc_id, features (array<float>) and a hash of the text of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,10 +129,10 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             for i, j in slices(off, BLOCK_BYTES):
                 x = statistics(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 at = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.ListArray.from_arrays(pa.array(at), pa.array(x.reshape(-1)))], ["doc_id", "features"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.ListArray.from_arrays(pa.array(at), pa.array(x.reshape(-1))), batch.column(2)[i:j]], ["doc_id", "features", "digest"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, features array<float>")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("digest"))
+    return source.mapInArrow(run, "doc_id long, features array<float>, digest long")
 
 
 @dataclass
@@ -208,45 +208,40 @@ def is_held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Forest:
-    """Train on the labelled rows of `stats` that aren't held out; about `max_rows` of them, by hash, if there are more."""
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Forest:
+    """Train on the labelled documents that aren't held out; about `max_rows` of them, by hash, if there are more."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where("doc_id is not null and quality is not null").where(~is_held_out())
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     n = known.count()
     if n > max_rows:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int((1 << 40) * (max_rows / n)))
-    rows = stats.join(known, "doc_id").select("doc_id", "label", "features").toArrow().sort_by("doc_id")
+    # The ids are bounded by max_rows, so they go to the texts; only texts with a label are looked at.
+    ids = materialise(known, "quality-labels")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+    one = document_statistics(chosen).groupBy("doc_id").agg(F.min_by("features", "digest").alias("features"))
+    rows = one.join(ids, "doc_id").select("doc_id", "label", "features").toArrow().sort_by("doc_id")
+    forget(ids)
     x = rows.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     return train(x, rows.column("label").to_numpy().astype(np.float64))
 
 
-def scored(stats: DataFrame, forest: Forest) -> DataFrame:
-    """doc_id and score. The forest is a few hundred kB whatever the input."""
+def score_of(text: Column, forest: Forest) -> Column:
+    """The score of each text, which alone goes to Python and in blocks. The forest is a few hundred kB whatever the input."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forest.score(x), pa.float64())], ["doc_id", "score"])
+    def run(column: pa.Array) -> pa.Array:
+        data, off = buffers(column)
+        parts = [forest.score(statistics(data[off[i] : off[j]], off[i : j + 1] - off[i])) for i, j in slices(off, BLOCK_BYTES)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
-    return stats.select("doc_id", "features").mapInArrow(run, "doc_id long, score double")
+    return F.arrow_udf(run, "double")(text.cast("string"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= 0.5)."""
-    stats = materialise(document_statistics(docs), "quality-statistics")
-    out = scored(stats, fit(stats, labels, max_rows))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), score_of(F.col("text"), fit(docs, labels, max_rows)).alias("score"))
     return out.select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """The documents that the classifier accepts, with all their columns: scored in place, no join back to the text."""
-    stats = materialise(document_statistics(docs), "quality-statistics")
-    forest = fit(stats, labels, max_rows)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, off = buffers(batch.column(batch.schema.get_field_index("text")))
-            keep = [forest.score(statistics(data[off[i] : off[j]], off[i : j + 1] - off[i])) >= 0.5 for i, j in slices(off, BLOCK_BYTES)]
-            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.empty(0, bool)))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The documents that the classifier accepts, with all their columns: these never leave the JVM."""
+    return docs.where(score_of(F.col("text"), fit(docs, labels, max_rows)) >= 0.5)

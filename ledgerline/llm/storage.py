@@ -7,11 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROW_GROUP_BYTES = 16 << 20  # a writer holds a row group in memory, and texts are long
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where that is unset (tests, a single machine)."""
+    """The folder named by spark.checkpoint.dir; one of our own only where that is unset and Spark runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -22,11 +26,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write `df` once to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    What the caller's result doesn't read any more should be given to `forget`.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -35,6 +44,7 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def location(df: DataFrame) -> str:
-    """Folder of a materialised table."""
-    return df.inputFiles()[0].rsplit("/", 1)[0]
+def forget(*tables: DataFrame) -> None:
+    """Delete the folders of materialised tables."""
+    for table in tables:
+        remove(table.sparkSession, table._scratch_path)

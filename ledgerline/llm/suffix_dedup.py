@@ -6,19 +6,23 @@ Which suffixes are sorted. A `span`-byte window is anchored at its minimizer: th
 hash. That is a function of the window's bytes, so equal windows have equal anchors at equal distance. Neighbouring
 windows of one anchor form one string of `span` to 2 * span - k bytes; every window is in exactly one string. Three rounds:
 
-1. Chunks send the hashes of their distinct strings, with the smallest doc_id of each, to the bucket of their anchor's
-   k-gram. A string that an earlier document has is settled: all its windows go. What is left to decide are first
-   occurrences whose anchor k-gram also stands in other strings of other documents.
-2. Only those are sorted as suffixes: from the anchor on, up to the string's end. Each chunk sorts its own, front-codes
-   the run (length of the prefix shared with the one before, then the rest) and sends it; the bucket merges all runs with
-   a loser tree whose entries carry the common prefix with the last winner, so known prefixes are never compared again.
-   The merged order and its common prefixes give, for each distance to the left, the groups of equal windows, and the
-   bytes left of the anchor split them. Windows that an earlier document has are marked in an answer to the owner's chunk.
+1. Chunks send the hashes of their anchors' k-grams to buckets, which answer which of them stand in several documents.
+   Strings whose k-gram no other document has can't share a window and take no further part.
+2. All others are sorted as suffixes: from the anchor on, up to the string's end. Each chunk sorts its distinct ones (told
+   apart on their bytes), front-codes the run (length of the prefix shared with the one before, then the rest) and sends
+   it; the bucket merges all runs with a loser tree whose entries carry the common prefix with the last winner, so known
+   prefixes are never compared again. The merged order and its common prefixes give, for each distance to the left, the
+   groups of equal windows, and the bytes left of the anchor split them. Windows that an earlier document has are marked
+   in an answer to the owner's chunk.
 3. Chunks turn the answers into byte ranges.
 
-Hashes of 80 bits and more stand for the strings in round 1; round 2 compares bytes. A common string is one row per chunk
-and bucket, never a row per document, so no group is large. Null text is empty, a null doc_id counts as larger than any
-other, documents with one doc_id don't remove from each other, and texts shorter than the span stay.
+So every removal is decided on bytes; hashes only leave out what can't match. A common string is one row per chunk and
+bucket, never a row per document. A k-gram with more than HOT_GRAM different strings is split: a window reaches at least
+half of span - k beyond the k-gram on one side, so its strings are dealt once by the bytes right of it and once by the
+bytes left of it, and each deal decides the windows that reach that far on its side.
+
+Null text is empty, a null doc_id counts as larger than any other, documents with one doc_id don't remove from each other,
+and texts shorter than the span stay.
 """
 
 from __future__ import annotations
@@ -29,10 +33,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .chunks import LAST_ID, Chunks, gathered, pack, unpack
-from .storage import materialise
+from .chunks import LAST_ID, Chunks, pack, unpack
+from .storage import forget, materialise
 from .text import BLOCK_BYTES, U64, mix, powers, ranges, slices
 
 SPAN = 50
@@ -79,68 +82,98 @@ def anchored(data: np.ndarray, off: np.ndarray, span: int = SPAN, gram: int = GR
 
 
 class Strings:
-    """A chunk's strings, and its distinct ones in a fixed order: by bucket, k-gram and string hash."""
+    """A chunk's strings, and the distinct k-grams of their anchors by bucket and hash."""
 
     def __init__(self, ids: np.ndarray, off: np.ndarray, text: np.ndarray, buckets: int, span: int, gram: int):
         parts = []
         for i, j in slices(off, BLOCK_BYTES):
             q, p0, p1, g, h, d = anchored(text[off[i] : off[j]], off[i : j + 1] - off[i], span, gram)
             parts.append((q + off[i], p0 + off[i], p1 + off[i], g, h, d + i))
-        self.q, self.p0, self.p1, g, h, self.doc = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64),) * 6
-        g, h = g.astype(U64), h.astype(U64)
-        bucket = (g % U64(buckets)).astype(np.int64)
-        fine = (g >> U64(32)) << U64(32) | h >> U64(32)
-        rest = (h & U64(0xFFFFFFFF)).astype(np.uint32)
-        order = np.lexsort((rest, fine, bucket))
-        fine, rest, bucket = fine[order], rest[order], bucket[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (fine[1:] != fine[:-1]) | (rest[1:] != rest[:-1]) | (bucket[1:] != bucket[:-1])
-        first = np.flatnonzero(new)
-        self.of = np.empty(len(order), np.int64)  # distinct string of each string
-        self.of[order] = np.cumsum(new) - 1
-        self.ids = ids
-        owner = ids[self.doc] if len(order) else np.empty(0, np.int64)
-        self.owner = owner
-        self.least = np.minimum.reduceat(owner[order], first) if len(first) else np.empty(0, np.int64)
-        self.fine, self.rest, self.some = fine[first], rest[first], order[first]
-        self.cuts = np.searchsorted(bucket[first], np.arange(buckets + 1))
-
-
-def _hash_blobs(buckets: int, span: int, gram: int):
+        self.q, self.p0, self.p1, g, self.hash, doc = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64),) * 6
+        g, self.hash = g.astype(U64), self.hash.astype(U64)
+        self.owner = ids[doc] if len(doc) else np.empty(0, np.int64)
+        self.text, self.span, self.gram, self.buckets = text, span, gram, buckets
+        # The order of grams is that of the bucket, then of the hash's high half.
+        key = (g % U64(buckets)) << U64(32) | g >> U64(32)
+        self.grams, self.of = np.unique(key, return_inverse=True)
+        self.cuts = np.searchsorted(self.grams, np.arange(buckets + 1, dtype=U64) << U64(32))
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each gram the number of strings (by hash), and whether several documents of the chunk have it."""
+        order = np.lexsort((self.hash, self.of))
+        o, h = self.of[order], self.hash[order]
+        new = np.ones(len(o), bool)
+        new[1:] = (o[1:] != o[:-1]) | (h[1:] != h[:-1])
+        first = np.searchsorted(o, np.arange(len(self.grams)))
+        if not len(first):
+            return np.empty(0, np.int64), np.empty(0, bool)
+        own = self.owner[order]
+        return np.add.reduceat(new, first, dtype=np.int64), np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+
+    def choose(self, wanted: np.ndarray) -> None:
+        """Tell the strings of the wanted grams apart: `some` has one of each distinct one, `least` its smallest doc_id.
+
+        `asked` are all strings of the wanted grams, and `group` the distinct string of each. Strings of one hash are
+        compared on their bytes with the first of them; one that differs stands for itself.
+        """
+        self.asked = np.flatnonzero(wanted[self.of])
+        h = self.hash[self.asked]
+        order = np.argsort(h, kind="stable")
+        new = np.ones(len(h), bool)
+        new[1:] = h[order][1:] != h[order][:-1]
+        lead = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else order
+        first = np.empty(len(h), np.int64)
+        first[order] = lead
+        other = np.flatnonzero(first != np.arange(len(h)))
+        a, b = self.asked[other], self.asked[first[other]]
+        n = self.p1[a] + self.span - self.p0[a]
+        same = n == self.p1[b] + self.span - self.p0[b]
+        bad = [other[~same]]
+        a, b, n, other = a[same], b[same], n[same], other[same]
+        if len(n):
+            cuts = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()) + COMPARED_AT_ONCE, COMPARED_AT_ONCE)).tolist()
+            for x, y in zip(cuts[:-1], [*cuts[1:-1], len(n)], strict=True):
+                if x < y:
+                    differ = self.text[ranges(self.p0[a[x:y]], n[x:y])] != self.text[ranges(self.p0[b[x:y]], n[x:y])]
+                    bad.append(other[x:y][np.logical_or.reduceat(differ, np.cumsum(n[x:y]) - n[x:y])])
+        alone = np.concatenate(bad)
+        first[alone] = alone
+        rep, self.group = np.unique(first, return_inverse=True)
+        self.some = self.asked[rep]
+        self.least = np.full(len(rep), LAST_ID, np.int64)
+        np.minimum.at(self.least, self.group, self.owner[self.asked])
+
+
+HOT_GRAM = 20_000  # different strings of one k-gram from which on they are split
+COMPARED_AT_ONCE = 1 << 20  # bytes
+
+
+def _gram_blobs(buckets: int, span: int, gram: int):
     def work(chunk: int, ids: np.ndarray, off: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
         s = Strings(ids, off, text, buckets, span, gram)
-        rows = [(b, pack(s.fine[x:y], (s.rest[x:y] >> np.uint32(16)).astype(np.uint16), s.least[x:y])) for b, (x, y) in enumerate(zip(s.cuts[:-1].tolist(), s.cuts[1:].tolist(), strict=True)) if x < y]
+        count, several = s.counts()
+        info = (np.minimum(count, (1 << 15) - 1) | several.astype(np.int64) << 15).astype(np.uint16)
+        low = (s.grams & U64(0xFFFFFFFF)).astype(np.uint32)
+        rows = [(b, pack(low[x:y], info[x:y])) for b, (x, y) in enumerate(zip(s.cuts[:-1].tolist(), s.cuts[1:].tolist(), strict=True)) if x < y]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "chunk", "blob"])
 
     return work
 
 
-def _settle(table: pa.Table) -> pa.Table:
-    """Per string of each chunk: whether an earlier document has it, and whether its bytes are asked for."""
-    chunks = table.column("chunk").to_pylist()
-    parts = [unpack(b) for b in table.column("blob").to_pylist()]
-    sizes = [len(p[0]) for p in parts]
-    fine, rest, owner = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    owner = owner.astype(np.int64)
-    order = np.lexsort((rest, fine))
-    f, r, o = fine[order], rest[order], owner[order]
-    new = np.ones(len(f), bool)
-    new[1:] = (f[1:] != f[:-1]) | (r[1:] != r[:-1])
-    first = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
-    least = np.minimum.reduceat(o, first)
-    gram = f[first] >> U64(32)
-    gram_new = np.ones(len(gram), bool)
-    gram_new[1:] = gram[1:] != gram[:-1]
-    gram_first = np.flatnonzero(gram_new)
-    # To be decided: strings of a k-gram that has strings with different first documents.
-    mixed = (np.minimum.reduceat(least, gram_first) != np.maximum.reduceat(least, gram_first))[np.cumsum(gram_new) - 1]
-    seen, ask = np.empty(len(f), bool), np.empty(len(f), bool)
-    seen[order] = o > least[group]
-    ask[order] = (o == least[group]) & mixed[group]
-    at = np.concatenate([[0], np.cumsum(sizes)]).tolist()
-    blobs = [pack(np.packbits(seen[a:b]), np.packbits(ask[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
-    return _answers(chunks, table.column("bucket")[0].as_py(), "settled", blobs)
+def _shared(hot: int):
+    def work(table: pa.Table) -> pa.Table:
+        """Per k-gram of each chunk: whether several documents have it, and whether too many strings do."""
+        parts = [unpack(b) for b in table.column("blob").to_pylist()]
+        _, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        info = np.concatenate([p[1] for p in parts]).astype(np.int64)
+        n = np.bincount(back) + np.bincount(back, weights=info >> 15).astype(np.int64)
+        total = np.bincount(back, weights=info & 0x7FFF)
+        several, many = (n > 1)[back], (total > hot)[back]
+        at = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])]).tolist()
+        blobs = [pack(np.packbits(several[a:b]), np.flatnonzero(several[a:b] & many[a:b])) for a, b in zip(at[:-1], at[1:], strict=True)]
+        return _answers(table.column("chunk").to_pylist(), table.column("bucket")[0].as_py(), "shared", blobs)
+
+    return work
 
 
 ANSWER = "chunk long, bucket long, kind string, blob binary"
@@ -150,53 +183,82 @@ def _answers(chunks: list[int], bucket: int, kind: str, blobs: list[bytes]) -> p
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([bucket] * len(chunks), pa.int64()), "kind": pa.array([kind] * len(chunks), pa.string()), "blob": pa.array(blobs, pa.binary())})
 
 
-def _bits(s: Strings, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    seen, ask = np.zeros(len(s.least), bool), np.zeros(len(s.least), bool)
-    for bucket, kind, blob in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("blob").to_pylist(), strict=True):
-        if kind == "settled":
-            a, b = s.cuts[bucket], s.cuts[bucket + 1]
-            x, y = unpack(blob)
-            seen[a:b], ask[a:b] = np.unpackbits(x, count=b - a), np.unpackbits(y, count=b - a)
-    return seen, ask
+def _rows(answers: pa.Table, wanted: str) -> Iterator[tuple[int, bytes]]:
+    for bucket, kind, blob in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("blob"), strict=True):
+        if kind == wanted:
+            yield bucket, blob.as_py()
+
+
+def _chosen(ids: np.ndarray, off: np.ndarray, text: np.ndarray, answers: pa.Table, buckets: int, span: int, gram: int) -> tuple[Strings, np.ndarray]:
+    """The chunk's strings with the shared ones told apart, and which grams are hot."""
+    s = Strings(ids, off, text, buckets, span, gram)
+    wanted, hot = np.zeros(len(s.grams), bool), np.zeros(len(s.grams), bool)
+    for bucket, blob in _rows(answers, "shared"):
+        a, b = s.cuts[bucket], s.cuts[bucket + 1]
+        bits, many = unpack(blob)
+        wanted[a:b] = np.unpackbits(bits, count=b - a)
+        hot[a + many.astype(np.int64)] = True
+    s.choose(wanted)
+    return s, hot
 
 
-def _sides(s: Strings, text: np.ndarray, some: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _sides(s: Strings, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes from the anchor on and bytes before it (nearest first) as zero-filled rows, and their lengths."""
     q, p0, p1 = s.q[some], s.p0[some], s.p1[some]
-    right, left = p1 + span - q, q - p0
-    n, across = len(some), 8 * (-(-span // 8))
+    right, left = p1 + s.span - q, q - p0
+    n, across = len(some), 8 * (-(-s.span // 8))
     r = np.zeros((n, across), np.uint8)
-    r.reshape(-1)[ranges(np.arange(n) * across, right)] = text[ranges(q, right)]
-    wide = 8 * (-(-(span - gram) // 8))
+    r.reshape(-1)[ranges(np.arange(n) * across, right)] = s.text[ranges(q, right)]
+    wide = _wide(s.span, s.gram)
     lft = np.zeros((n, wide), np.uint8)
     rows = ranges(np.arange(n) * wide, left)
     back = np.repeat(q - 1, left) - (rows - np.repeat(np.arange(n) * wide, left))
-    lft.reshape(-1)[rows] = text[back]
+    lft.reshape(-1)[rows] = s.text[back]
     return r, lft, right, left
 
 
+def _wide(span: int, gram: int) -> int:
+    return 8 * max(1, -(-(span - gram) // 8))
+
+
+def _dealt(s: Strings, hot: np.ndarray, r: np.ndarray, lft: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and bucket of each distinct string: those of hot grams once by each side's bytes (buckets of their own)."""
+    gram = s.of[s.some]
+    plain = (s.grams[gram] >> U64(32)).astype(np.int64)
+    much = hot[gram]
+    if not much.any():
+        return np.arange(len(plain)), plain
+    half = (s.span - s.gram) // 2
+    rows, dealt = [np.flatnonzero(~much)], [plain[~much]]
+    for side, (part, fits) in enumerate(((r[:, s.gram : s.gram + half], right >= s.gram + half), (lft[:, : half + 1], left >= half + 1))):
+        own = np.flatnonzero(much & fits)
+        h = s.grams[gram[own]].copy()
+        for k in range(part.shape[1]):
+            h = mix(h ^ (part[own, k].astype(U64) + U64(1)))
+        rows.append(own)
+        dealt.append((h % U64(s.buckets)).astype(np.int64) + (side + 1) * s.buckets)
+    return np.concatenate(rows), np.concatenate(dealt)
+
+
 def _run_blobs(buckets: int, span: int, gram: int):
     def work(chunk: int, ids: np.ndarray, off: np.ndarray, text: np.ndarray, answers: pa.Table) -> list[pa.RecordBatch]:
-        s = Strings(ids, off, text, buckets, span, gram)
-        _, ask = _bits(s, answers)
-        asked = np.flatnonzero(ask)
-        r, lft, right, left = _sides(s, text, s.some[asked], span, gram)
-        words = r.view(">u8")
-        bucket = np.searchsorted(s.cuts, asked, side="right") - 1
-        order = np.lexsort((right, *(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), bucket))
-        r, lft, right, left, asked, bucket = r[order], lft[order], right[order], left[order], asked[order], bucket[order]
+        s, hot = _chosen(ids, off, text, answers, buckets, span, gram)
+        r, lft, right, left = _sides(s, s.some)
+        index, bucket = _dealt(s, hot, r, lft, right, left)
+        words = r.view(">u8")[index]
+        order = np.lexsort((right[index], *(words[:, k] for k in range(words.shape[1] - 1, -1, -1)), bucket))
+        index, bucket = index[order], bucket[order]
+        r, lft, right, left = r[index], lft[index], right[index], left[index]
         shared = _neighbours(r, right)
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
+        begins = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
         rows = []
-        for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if x == y:
-                continue
+        for x, y in zip(begins, [*begins[1:], len(bucket)], strict=True):
             lcp = shared[x:y].copy()
             lcp[0] = 0
             n = right[x:y] - lcp
             tails = r[x:y].reshape(-1)[ranges(np.arange(y - x) * r.shape[1] + lcp, n)]
             before = lft[x:y].reshape(-1)[ranges(np.arange(y - x) * lft.shape[1], left[x:y])]
-            rows.append((b, pack(lcp, n, tails, left[x:y], before, s.least[asked[x:y]], asked[x:y] - s.cuts[b])))
+            rows.append((int(bucket[x]), pack(lcp, n, tails, left[x:y], before, s.least[index[x:y]], index[x:y])))
         return [pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()), pa.array([x[1] for x in rows], pa.binary())], ["bucket", "chunk", "blob"])]
 
     return work
@@ -281,16 +343,21 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[int], li
     return order, common
 
 
-def _merge(span: int, gram: int):
+def _merge(span: int, gram: int, buckets: int):
+    half = (span - gram) // 2
+
     def work(table: pa.Table) -> pa.Table:
         """Merge a bucket's runs and answer which windows an earlier document has, as bits by distance to the anchor."""
-        chunks = table.column("chunk").to_pylist()
+        chunks, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
+        # Strings of hot grams are dealt twice; each deal decides the windows that reach far enough on its side.
+        distances = (range(span - gram + 1), range(half + 1), range(half + 1, span - gram + 1))[bucket // buckets]
         parts = [unpack(b) for b in table.column("blob").to_pylist()]
         runs = []
         for lcp, n, tails, *_ in parts:
             raw, ends = tails.tobytes(), np.cumsum(n, dtype=np.int64).tolist()
             runs.append((lcp.tolist(), [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]))
         order, common = merge_runs(runs)
+        del runs
         order = np.array(order, np.int64)
         lcp = np.array(common, np.int64)
         # Output i of run r is the run's next row, so a stable sort by run finds the rows again.
@@ -299,12 +366,12 @@ def _merge(span: int, gram: int):
         join = lambda k: np.concatenate([p[k].astype(np.int64) for p in parts])
         right = (join(0) + join(1))[place]
         left_n, owner, index = join(3), join(5)[place], join(6)[place]
-        wide = 8 * (-(-(span - gram) // 8))
+        wide = _wide(span, gram)
         lft = np.zeros((len(order), wide), np.uint8)
         lft.reshape(-1)[ranges(np.arange(len(order)) * wide, left_n)] = np.concatenate([p[4] for p in parts])
         lft, left_n = lft[place].view(">u8").astype(U64), left_n[place]
         marks = np.zeros(len(order), U64)
-        for a in range(span - gram + 1):
+        for a in distances:
             apart = lcp < span - a
             apart[0] = True
             block = np.cumsum(apart) - 1
@@ -334,83 +401,100 @@ def _merge(span: int, gram: int):
         who, at = np.unique(run, return_index=True)
         cuts = np.append(at, len(run)).tolist()
         blobs = [pack(index[found[x:y]], marks[found[x:y]]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-        return _answers([chunks[w] for w in who.tolist()], table.column("bucket")[0].as_py(), "marked", blobs)
+        return _answers([chunks[w] for w in who.tolist()], bucket, "marked", blobs)
 
     return work
 
 
-def covered(s: Strings, n: int, answers: pa.Table, span: int) -> np.ndarray:
-    """Which of the chunk's n bytes go."""
-    seen, _ = _bits(s, answers)
-    marks = np.zeros(len(s.least), U64)
-    for bucket, kind, blob in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("blob").to_pylist(), strict=True):
-        if kind == "marked":
-            index, bits = unpack(blob)
-            marks[s.cuts[bucket] + index.astype(np.int64)] = bits
-    gone = seen[s.of] | (s.owner > s.least[s.of])
-    edge = np.zeros(n + 1, np.int32)
-    np.add.at(edge, s.p0[gone], 1)
-    np.add.at(edge, s.p1[gone] + span, -1)
-    part = np.flatnonzero(~gone & (marks[s.of] != 0))
-    for a in range(64 if len(part) else 0):
-        hit = part[(marks[s.of[part]] >> U64(a)) & U64(1) != 0]
-        np.add.at(edge, s.q[hit] - a, 1)
-        np.add.at(edge, s.q[hit] - a + span, -1)
+def covered(s: Strings, answers: pa.Table) -> np.ndarray:
+    """Which of the chunk's bytes go."""
+    marks = np.zeros(len(s.some), U64)
+    for _, blob in _rows(answers, "marked"):
+        index, bits = unpack(blob)
+        marks[index.astype(np.int64)] |= bits
+    gone = s.owner[s.asked] > s.least[s.group]
+    edge = np.zeros(len(s.text) + 1, np.int32)
+    np.add.at(edge, s.p0[s.asked[gone]], 1)
+    np.add.at(edge, s.p1[s.asked[gone]] + s.span, -1)
+    part = np.flatnonzero(~gone & (marks[s.group] != 0))
+    bits, q = marks[s.group[part]], s.q[s.asked[part]]
+    for a in range(s.span - s.gram + 1 if len(part) else 0):
+        hit = q[(bits >> U64(a)) & U64(1) != 0] - a
+        np.add.at(edge, hit, 1)
+        np.add.at(edge, hit + s.span, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
-def _results(buckets: int, span: int, gram: int, texts: bool):
+def _cut(ids: np.ndarray, off: np.ndarray, text: np.ndarray, answers: pa.Table, buckets: int, span: int, gram: int) -> tuple[np.ndarray, list[bytes]]:
+    """Which bytes go, and what each document keeps."""
+    gone = covered(_chosen(ids, off, text, answers, buckets, span, gram)[0], answers)
+    kept = text[~gone].tobytes()
+    at = np.concatenate([[0], np.cumsum(~gone)])[off].tolist()
+    return gone, [kept[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _results(buckets: int, span: int, gram: int):
     def work(chunk: int, ids: np.ndarray, off: np.ndarray, text: np.ndarray, answers: pa.Table) -> list[pa.RecordBatch]:
-        s = Strings(ids, off, text, buckets, span, gram)
-        gone = covered(s, len(text), answers, span)
+        gone, raw = _cut(ids, off, text, answers, buckets, span, gram)
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         begins[off[:-1][off[:-1] < len(text)]] = gone[off[:-1][off[:-1] < len(text)]]
         count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[off])
-        kept = text[~gone]
-        at = np.concatenate([[0], np.cumsum(~gone)])[off].tolist()
-        raw = [kept[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
         columns = [
             pa.array([None if i == LAST_ID else i for i in ids.tolist()], pa.int64()), pa.array(np.diff(off), pa.int64()), pa.array(count(gone), pa.int64()), pa.array(count(begins), pa.int64()),
             pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()),
         ]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        if texts:
-            at = off.tolist()
-            columns += [pa.array([hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)], pa.string()), pa.array([x.decode("utf-8", "ignore") for x in raw], pa.string())]
-            names += ["text_sha256", "kept_text"]
-        return [pa.RecordBatch.from_arrays(columns, names)]
+        return [pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])]
+
+    return work
+
+
+def _texts(buckets: int, span: int, gram: int):
+    def work(chunk: int, ids: np.ndarray, off: np.ndarray, text: np.ndarray, answers: pa.Table) -> tuple[None, dict[str, pa.Array]]:
+        _, raw = _cut(ids, off, text, answers, buckets, span, gram)
+        texts = [x.decode("utf-8", "ignore") for x in raw]
+        return None, {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())}
 
     return work
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+BLOB = "bucket long, chunk long, blob binary"
 
 
-def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM, texts: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256; with `texts`, also text_sha256 and kept_text, without characters that a cut has broken."""
+def _decided(chunks: Chunks, span: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """The answers of rounds 1 and 2, each a written table."""
     if not 0 < gram <= span or span - gram >= 64 or span > 255:
         raise ValueError("the k-gram must fit the span, with fewer than 64 bytes more, in a span of 255 at most")
+    args = (chunks.buckets, span, gram)
+    shared = materialise(chunks.gathered(chunks.each(_gram_blobs(*args), BLOB), _shared(hot), ANSWER), "suffix-shared")
+    runs = chunks.answered(shared, _run_blobs(*args), BLOB)
+    return shared, materialise(chunks.gathered(runs, _merge(span, gram, chunks.buckets), ANSWER), "suffix-marked")
+
+
+def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT_GRAM) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 of every document."""
     chunks = Chunks(docs)
     try:
-        blobs = chunks.each(_hash_blobs(chunks.buckets, span, gram), "bucket long, chunk long, blob binary")
-        settled = materialise(gathered(blobs, _settle, ANSWER), "suffix-settled")
-        runs = chunks.answered(settled, _run_blobs(chunks.buckets, span, gram), "bucket long, chunk long, blob binary")
-        marked = gathered(runs, _merge(span, gram), ANSWER)
-        answers = settled.unionByName(marked)
-        schema = RESULT + (", text_sha256 string, kept_text string" if texts else "")
-        return materialise(chunks.answered(answers, _results(chunks.buckets, span, gram, texts), schema), "suffix-result")
+        shared, marked = _decided(chunks, span, gram, hot)
+        out = materialise(chunks.answered(shared.unionByName(marked), _results(chunks.buckets, span, gram), RESULT), "suffix-result")
+        forget(shared, marked)
+        return out
     finally:
         chunks.drop()
 
 
-def dedup_texts(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """`docs` with the repeated bytes cut out of text; characters that a cut has broken go, and n_chars follows.
+def dedup_texts(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT_GRAM) -> DataFrame:
+    """`docs` with the repeated bytes cut out of text; characters that a cut has broken go, and n_chars (if there) follows.
 
-    A row is found again by its doc_id and the digest of its text, which decide what is kept of it.
+    Rows are carried in the chunks, so they keep all their columns whatever these are called. A row whose text is null
+    stays as it is.
     """
-    kept = dedup(docs, span, gram, texts=True).dropDuplicates(["doc_id", "text_sha256"])
-    cut = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("kept_text").alias("_kept"))
-    joined = docs.join(cut, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.sha2(F.encode(F.coalesce(docs["text"], F.lit("")), "UTF-8"), 256) == F.col("_sha")))
-    fresh = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
-    return joined.select(*[fresh[c].alias(c) if c in fresh else docs[c] for c in docs.columns])
+    chunks = Chunks(docs, carry=True)
+    try:
+        shared, marked = _decided(chunks, span, gram, hot)
+        out = materialise(chunks.rewritten(shared.unionByName(marked), _texts(chunks.buckets, span, gram)), "suffix-texts")
+        forget(shared, marked)
+        return out
+    finally:
+        chunks.drop()

@@ -120,12 +120,28 @@ def brute_dedup(rows, span):
     return sorted(out)
 
 
+def kept_bytes(rows, span):
+    """doc_id, text and the bytes that stay of each row, by looking every window up."""
+    first = {}
+    every = [(LAST if i is None else i, (t or "").encode()) for i, t in rows]
+    for i, t in every:
+        for p in range(len(t) - span + 1):
+            first[t[p : p + span]] = min(first.get(t[p : p + span], 1 << 70), i)
+    for (i, text), (k, t) in zip(rows, every, strict=True):
+        gone = bytearray(len(t))
+        for p in range(len(t) - span + 1):
+            if first[t[p : p + span]] < k:
+                gone[p : p + span] = b"\1" * span
+        yield i, text, bytes(c for c, x in zip(t, gone, strict=True) if not x)
+
+
 @pytest.mark.parametrize(("span", "gram"), [(20, 7), (50, 16)])
 def test_suffix_dedup_on_hard_documents(spark, span, gram):
     rows, df = hard_documents(spark)
-    short = [(LAST if i is None else i, (t or "").encode()) for i, t in rows if len(t or "") < 5000]
-    got = suffix_dedup.dedup(df.where("length(coalesce(text, '')) < 5000"), span, gram)
-    assert sorted((LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_dedup(short, span)
+    every = [(LAST if i is None else i, (t or "").encode()) for i, t in rows]
+    for hot in (suffix_dedup.HOT_GRAM, 2):
+        got = suffix_dedup.dedup(df, span, gram, hot)
+        assert sorted((LAST if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == brute_dedup(every, span)
 
 
 def test_suffix_dedup_on_repetitive_bytes(spark):
@@ -139,15 +155,38 @@ def test_suffix_dedup_on_repetitive_bytes(spark):
             t = t[:10] + o[a : a + rnd.randrange(60)] + t[10:]
         rows.append((rnd.choice([i, i, i // 2]), t))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = sorted(tuple(r) for r in suffix_dedup.dedup(df, 20, 7).collect())
-    assert got == brute_dedup([(i, t.encode()) for i, t in rows], 20)
+    for hot in (suffix_dedup.HOT_GRAM, 1):
+        got = sorted(tuple(r) for r in suffix_dedup.dedup(df, 20, 7, hot).collect())
+        assert got == brute_dedup([(i, t.encode()) for i, t in rows], 20)
+
+
+def test_suffix_dedup_does_not_trust_hashes(spark, monkeypatch):
+    import numpy as np
+
+    # Every string of a chunk has the same hash: they are told apart on their bytes.
+    anchored = suffix_dedup.anchored
+    monkeypatch.setattr(suffix_dedup, "anchored", lambda *a: (*(x := anchored(*a))[:4], np.zeros_like(x[4]), x[5]))
+    rnd = random.Random(9)
+    part = [bytes(rnd.choice(b"abc") for _ in range(40)) for _ in range(6)]
+    texts = [b"".join(rnd.choice(part) for _ in range(5)) for _ in range(30)]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    s = suffix_dedup.Strings(np.arange(30), off, np.frombuffer(b"".join(texts), np.uint8), 4, 20, 7)
+    s.choose(np.ones(len(s.grams), bool))
+    raw = b"".join(texts)
+    value = lambda k: raw[s.p0[k] : s.p1[k] + 20]
+    assert all(value(k) == value(s.some[g]) for k, g in zip(s.asked, s.group, strict=True))
 
 
 def test_suffix_dedup_texts(spark):
     rows, df = hard_documents(spark)
-    got = suffix_dedup.dedup_texts(df.withColumn("n_chars", F.length("text").cast("long")))
-    assert got.columns == [*df.columns, "n_chars"] and got.count() == len(rows)
-    assert got.where("n_chars <> length(text)").count() == 0
+    got = suffix_dedup.dedup_texts(df.withColumn("n_chars", F.length("text")).withColumn("_id", F.lit(1)).withColumn("no_text", F.lit("z")))
+    assert got.columns == [*df.columns, "n_chars", "_id", "no_text"] and got.count() == len(rows)
+    assert got.where("n_chars <> length(text) or n_chars is null and text is not null").count() == 0
+    whole = sorted((LAST if i is None else i, len((t or "").encode()), hashlib.sha256(k).hexdigest()) for i, t, k in kept_bytes(rows, 50))
+    digests = {(i, n): h for i, n, _, _, h in brute_dedup([(LAST if i is None else i, (t or "").encode()) for i, t in rows], 50)}
+    assert {(i, n): h for i, n, h in whole} == digests
+    want = Counter((i, t if t is None else k.decode("utf-8", "ignore"), "x", 1.0, "c") for i, t, k in kept_bytes(rows, 50))
+    assert Counter((r.doc_id, r.text, r.component_id, r.score, r.chunk) for r in got.collect()) == want
     assert suffix_dedup.dedup_texts(no_documents(spark)).count() == 0
 
 
@@ -181,7 +220,7 @@ def test_decontamination(spark, monkeypatch):
         for x in range(max(0, len(w) // 9)):
             w[x] = "other"
         docs.append((200 + k, item(500) + ", " + " ".join(w).upper().replace(" ", "\n ") + "! " + item(3000)))
-    benchmark = spark.createDataFrame([(k, t, 0) for k, t in items], "item_id long, text string, doc_id int")
+    benchmark = spark.createDataFrame([(k, t, 0) for k, t in items + items[:5]], "item_id long, text string, doc_id int")
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     words = lambda t: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", (t or "").lower())
     grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
@@ -192,13 +231,15 @@ def test_decontamination(spark, monkeypatch):
         for i, text in docs:
             if n and 100 * len(grams(w, n) & grams(words(text), n)) >= 80 * len(grams(w, n)):
                 want.add((i, k))
-    for block in (20_000, 7):
-        monkeypatch.setattr(decontaminate, "ITEMS_AT_ONCE", block)
-        assert {(r.doc_id, r.item_id) for r in decontaminate.hits(df, benchmark).collect()} == want
-    found = decontaminate.report(df, benchmark)
-    assert found.count() == len(docs)
-    assert {r.doc_id for r in found.where("contaminated").collect()} == {i for i, _ in want}
-    assert decontaminate.clean(df, benchmark).count() == len(docs) - len({i for i, _ in want})
+    clash = df.withColumn("_id", F.lit(1)).withColumn("found_items", F.lit(2)).withColumn("row_number", F.lit(3))
+    for block in (32 << 20, 4000):
+        monkeypatch.setattr(decontaminate, "INDEX_BYTES", block)
+        assert Counter((r.doc_id, r.item_id) for r in decontaminate.hits(df, benchmark).collect()) == Counter(want)
+        found = decontaminate.report(df, benchmark)
+        assert found.count() == len(docs)
+        assert {(r.doc_id, tuple(r.item_ids)) for r in found.where("contaminated").collect()} == {(i, tuple(sorted(k for d, k in want if d == i and k is not None))) for i, _ in want}
+        kept = decontaminate.clean(clash, benchmark)
+        assert kept.columns == clash.columns and kept.count() == len(docs) - len({i for i, _ in want})
     assert decontaminate.report(df, benchmark.limit(0)).where("contaminated").count() == 0
     assert decontaminate.report(no_documents(spark), benchmark).count() == 0
 
