@@ -10,18 +10,17 @@ back as the next one's docs. All but the last return the columns of documents. N
 4. decontaminate: documents that hold a benchmark item go.
 5. bpe: token ids of each text as digests, and the digest of the decoded bytes.
 
-Rows with a null doc_id are carried along. Stage 2 takes each row as a document of its own, also where doc_ids are null (the
-largest) or repeated; of equal doc_ids in a group one row stays.
+Rows with a null doc_id are carried along. Stages 1, 2 and 4 take each row as a document of its own, also where doc_ids are
+null (the largest) or repeated; of equal doc_ids in a group one row stays. Stage 3 doesn't cut repeats between rows of one
+doc_id. A null text counts as empty and stays null; all columns stay, whatever their names are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontaminate, ngram_join, quality, suffix_dedup
-from ledgerline.llm.chunks import LAST_ID
-from ledgerline.llm.storage import materialise
+from ledgerline.llm.storage import forget, materialise
 
 #: Stage 2 links near copies by five words and 0.8; four words and 85 % are the contract of the query op2_ngram_join alone.
 SHINGLE_WORDS = 5
@@ -39,12 +38,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Rows are numbered, as a null or repeated doc_id doesn't tell them apart; the table keeps the numbers fixed.
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
-    groups = ngram_join.join(rows.select(F.col("_row").alias("doc_id"), "text"), size=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
-    named = groups.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id")), "_row")
-    kept = named.groupBy("component_id").agg(F.min(F.struct("_id", "_row")).alias("first")).select("first._row")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    return ngram_join.one_of_each(docs, size=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +65,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, before = _table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        forget(*before)
+        before = [docs]
     return docs
