@@ -1,10 +1,14 @@
 """MPEG transport streams as a column: packets of 188 bytes with program tables, elementary packets and timestamps.
 
 `mux` cuts a payload into access units (one PES packet each), gives every unit a presentation time stamp and every
-`GOP`-th unit a random-access point, and frames them behind a PAT and a PMT. `demux` parses the tables to find the stream,
-checks sync bytes, table CRCs and continuity counters, reassembles the elementary packets and returns the payload with the
-timestamps. Both work on whole payloads in numpy, linear in their size. An empty payload is a stream of tables only; null
-counts as empty.
+`GOP`-th unit a random-access point, before which it repeats the program tables (PAT and PMT).
+
+`demux` reads any stream of whole packets: it reassembles table sections over packets, checks their CRCs, walks the programs
+of the PAT and the streams of the PMT past their descriptors, and takes the wanted stream's packets. Null packets, other
+streams, packets with an adaptation field alone and a packet that is sent twice are passed over; a continuity counter may
+jump only where the discontinuity flag says so. PES packets may lack a length (they end where the next begins), a time stamp
+or the optional header. Anything else that is damaged raises StreamError. Both work on whole payloads in numpy, linear in
+their size. An empty payload is a stream of tables only; null counts as empty.
 """
 
 from __future__ import annotations
@@ -28,11 +32,14 @@ GOP = 8  # units from one random-access point to the next
 CLOCK = 90_000
 UNIT_TICKS = CLOCK // 25
 PMT_PID, ES_PID, PROGRAM, STREAM_TYPE, STREAM_ID = 0x1000, 0x0100, 1, 0x06, 0xBD
+NULL_PID = 0x1FFF
+#: Ids of elementary streams whose packets have no optional header.
+BARE_IDS = [0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF]
 PAD = 64
 
 
 class StreamError(ValueError):
-    """The bytes aren't a transport stream as written by `mux`: bad sync, CRC, continuity or lengths."""
+    """The bytes aren't a whole transport stream: bad sync, CRC, continuity, headers or lengths."""
 
 
 def _crc_table() -> list[int]:
@@ -78,7 +85,7 @@ def _stamp(pts: np.ndarray) -> np.ndarray:
 
 
 def mux(payload: bytes) -> bytes:
-    """The transport stream that carries `payload`: two table packets, then the packets of each access unit."""
+    """The transport stream that carries `payload`: the packets of each access unit, and two table packets before every GOP."""
     n = len(payload)
     if not n:
         return _PAT + _PMT
@@ -126,61 +133,154 @@ def mux(payload: bytes) -> bytes:
     # The payload's bytes fill each packet's end, in order.
     ends = np.arange(1, total + 1) * PACKET
     flat[ranges(ends - length, length)] = np.frombuffer(payload, np.uint8)
-    return _PAT + _PMT + out.tobytes()
+    group = np.arange(units) // GOP
+    whole = np.empty((total + 2 * (int(group[-1]) + 1), PACKET), np.uint8)
+    whole[np.arange(total) + 2 * (group[unit_of] + 1)] = out
+    first = start[::GOP] + 2 * np.arange(int(group[-1]) + 1)
+    for place, table in ((first, _PAT), (first + 1, _PMT)):
+        whole[place] = np.frombuffer(table, np.uint8)
+        whole[place, 3] |= (np.arange(len(place)) & 0x0F).astype(np.uint8)
+    return whole.tobytes()
 
 
 def _pids(packets: np.ndarray) -> np.ndarray:
     return ((packets[:, 1].astype(np.int64) & 0x1F) << 8) | packets[:, 2]
 
 
-def _find(packets: np.ndarray, pid: np.ndarray, wanted: int, table_id: int) -> bytes:
-    at = np.flatnonzero(pid == wanted)
-    if not len(at):
+def _payload_at(packets: np.ndarray) -> np.ndarray:
+    """Where each packet's payload begins; PACKET where it has none."""
+    control = (packets[:, 3] >> 4) & 3
+    skip = 4 + np.where(control >= 2, packets[:, 4].astype(np.int64) + 1, 0)
+    if (skip[control & 1 == 1] > PACKET).any():
+        raise StreamError("an adaptation field is too long")
+    return np.where(control & 1, skip, PACKET)
+
+
+def _flags(packets: np.ndarray) -> np.ndarray:
+    """The flag byte of each adaptation field; 0 without one."""
+    return np.where((packets[:, 3] & 0x20 != 0) & (packets[:, 4] > 0), packets[:, 5], 0)
+
+
+def _in_order(packets: np.ndarray) -> np.ndarray:
+    """One stream's packets that have a payload, without those sent twice. Raises where a counter jumps unannounced."""
+    at = _payload_at(packets)
+    full = np.flatnonzero(at < PACKET)
+    own, at = packets[full], at[full]
+    step = np.diff(own[:, 3].astype(np.int64) & 0x0F) & 0x0F
+    announced = np.cumsum(_flags(packets) & 0x80 != 0)[full]
+    odd = np.flatnonzero((step != 1) & (announced[1:] == announced[:-1])) + 1
+    twice: set[int] = set()
+    for k in odd.tolist():
+        if step[k - 1] or k - 1 in twice or at[k] != at[k - 1] or own[k, at[k] :].tobytes() != own[k - 1, at[k] :].tobytes():
+            raise StreamError("a continuity counter jumps")
+        twice.add(k)
+    return np.delete(own, sorted(twice), axis=0)
+
+
+def sections(packets: np.ndarray) -> list[bytes]:
+    """The whole table sections that one stream's packets carry, CRCs checked and cut off."""
+    own = _in_order(packets)
+    out: list[bytes] = []
+    open_section = b""
+    begun = False
+
+    def closed(raw: bytes) -> bytes:
+        """Take whole sections from the front; the rest is open."""
+        while len(raw) >= 3 and raw[0] != 0xFF:
+            size = 3 + (((raw[1] & 0x0F) << 8) | raw[2])
+            if len(raw) < size:
+                return raw
+            if crc32_mpeg(raw[:size]):
+                raise StreamError(f"table {raw[0]} is damaged")
+            out.append(raw[: size - 4])
+            raw = raw[size:]
+        return b"" if raw[:1] == b"\xff" else raw
+
+    for packet, at in zip(own, _payload_at(own).tolist(), strict=True):
+        raw = packet[at:].tobytes()
+        if packet[1] & 0x40:
+            if begun and open_section:
+                closed(open_section + raw[1 : 1 + raw[0]])
+            open_section, begun = closed(raw[1 + raw[0] :]), True
+        elif begun and open_section:
+            open_section = closed(open_section + raw)
+    return out
+
+
+def _newest(packets: np.ndarray, table_id: int) -> bytes:
+    """The body of the last section of a table that is in force."""
+    found = [x for x in sections(packets) if x[0] == table_id and len(x) >= 8 and x[5] & 1]
+    if not found:
         raise StreamError(f"no packet of table {table_id}")
-    raw = packets[at[0], 4:].tobytes()
-    raw = raw[1 + raw[0] :]
-    size = 3 + (((raw[1] & 0x0F) << 8) | raw[2])
-    if raw[0] != table_id or crc32_mpeg(raw[:size]):
-        raise StreamError(f"table {table_id} is damaged")
-    return raw[8 : size - 4]
+    return found[-1][8:]
 
 
-def demux(stream: bytes) -> dict:
-    """payload; pts, random_access and size of each access unit; number of packets. Raises StreamError on any damage."""
+def programs(pat: bytes) -> dict[int, int]:
+    """Program number to the PID of its map; the network's entry (number 0) isn't a program."""
+    pairs = [(pat[k] << 8 | pat[k + 1], (pat[k + 2] & 0x1F) << 8 | pat[k + 3]) for k in range(0, len(pat) - 3, 4)]
+    return {number: pid for number, pid in pairs if number}
+
+
+def streams(pmt: bytes) -> list[tuple[int, int]]:
+    """Stream type and PID of each stream of a program, past all descriptors."""
+    k, out = 4 + ((pmt[2] & 0x0F) << 8 | pmt[3]), []
+    while k + 5 <= len(pmt):
+        out.append((pmt[k], (pmt[k + 1] & 0x1F) << 8 | pmt[k + 2]))
+        k += 5 + ((pmt[k + 3] & 0x0F) << 8 | pmt[k + 4])
+    return out
+
+
+def demux(stream: bytes, program: int | None = None, stream_type: int | None = None) -> dict:
+    """payload; pts (-1 without one), random_access and size of each PES packet; number of packets; streams of the program.
+
+    Of the given program (else the first) the first stream of the given type (else the first of all). Raises StreamError.
+    """
     if len(stream) % PACKET or not stream:
         raise StreamError("not a whole number of packets")
     packets = np.frombuffer(stream, np.uint8).reshape(-1, PACKET)
     if (packets[:, 0] != 0x47).any():
         raise StreamError("lost sync")
     pid = _pids(packets)
-    pat = _find(packets, pid, 0, 0x00)
-    pmt = _find(packets, pid, ((pat[2] & 0x1F) << 8) | pat[3], 0x02)
-    es = ((pmt[5] & 0x1F) << 8) | pmt[6]
-    own = packets[pid == es]
+    if (packets[pid != NULL_PID, 1] & 0x80).any():
+        raise StreamError("a packet is marked as damaged")
+    maps = programs(_newest(packets[pid == 0], 0x00))
+    if not maps or program is not None and program not in maps:
+        raise StreamError("no such program")
+    listed = streams(_newest(packets[pid == maps[program if program is not None else min(maps)]], 0x02))
+    chosen = [p for kind, p in listed if stream_type is None or kind == stream_type]
+    if not chosen:
+        raise StreamError("no such stream")
+    found = {"streams": listed, "packets": len(packets)}
+    own = _in_order(packets[pid == chosen[0]])
     total = len(own)
     if not total:
-        return {"payload": b"", "pts": np.empty(0, np.int64), "random_access": np.empty(0, bool), "sizes": np.empty(0, np.int64), "packets": len(packets)}
-    if ((np.diff(own[:, 3].astype(np.int64) & 0x0F) & 0x0F) != 1).any():
-        raise StreamError("a continuity counter jumps")
-    adapted = (own[:, 3] & 0x20) != 0
-    skip = 4 + np.where(adapted, own[:, 4].astype(np.int64) + 1, 0)
+        return found | {"payload": b"", "pts": np.empty(0, np.int64), "random_access": np.empty(0, bool), "sizes": np.empty(0, np.int64)}
+    if (own[:, 3] & 0xC0).any():
+        raise StreamError("the stream is scrambled")
+    skip = _payload_at(own)
     starts = np.flatnonzero(own[:, 1] & 0x40)
     if not len(starts) or starts[0]:
         raise StreamError("the stream doesn't begin with an access unit")
-    if (skip[starts] > PACKET - 14).any():
+    if (skip[starts] > PACKET - 6).any():
         raise StreamError("an elementary packet has no header")
-    head = own.reshape(-1)[(starts * PACKET + skip[starts])[:, None] + np.arange(14)].astype(np.int64)
-    if (head[:, :4] != (0, 0, 1, STREAM_ID)).any():
+    # Headers are read 14 bytes wide, up to the packet's end.
+    head = own.reshape(-1)[starts[:, None] * PACKET + np.minimum(skip[starts][:, None] + np.arange(14), PACKET - 1)].astype(np.int64)
+    if (head[:, :3] != (0, 0, 1)).any():
         raise StreamError("an elementary packet has no start code")
-    skip[starts] += 9 + head[:, 8]
+    bare = np.isin(head[:, 3], BARE_IDS)
+    stamped = ~bare & (head[:, 7] & 0x80 != 0)
+    front = np.where(bare, 6, 9 + head[:, 8])
+    if (skip[starts] + front > PACKET).any() or (head[stamped, 8] < 5).any():
+        raise StreamError("an elementary packet's header is cut off")
+    declared = head[:, 4] << 8 | head[:, 5]
+    skip[starts] += front
     length = PACKET - skip
-    sizes = (head[:, 4] << 8 | head[:, 5]) - 3 - head[:, 8]
-    if (length < 0).any() or (np.add.reduceat(length, starts) != sizes).any():
+    sizes = np.add.reduceat(length, starts)
+    if ((declared > 0) & (declared + 6 - front != sizes)).any():
         raise StreamError("an elementary packet is incomplete")
-    pts = ((head[:, 9] >> 1) & 7) << 30 | head[:, 10] << 22 | (head[:, 11] >> 1) << 15 | head[:, 12] << 7 | head[:, 13] >> 1
+    pts = np.where(stamped, ((head[:, 9] >> 1) & 7) << 30 | head[:, 10] << 22 | (head[:, 11] >> 1) << 15 | head[:, 12] << 7 | head[:, 13] >> 1, -1)
     payload = own.reshape(-1)[ranges(np.arange(total) * PACKET + skip, length)].tobytes()
-    access = (own[starts, 5] & 0x40 != 0) & adapted[starts] & (own[starts, 4] > 0)
-    return {"payload": payload, "pts": pts, "random_access": access, "sizes": sizes, "packets": len(packets)}
+    return found | {"payload": payload, "pts": pts, "random_access": _flags(own)[starts] & 0x40 != 0, "sizes": sizes}
 
 
 def padded(text: bytes) -> bytes:

@@ -38,7 +38,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive, read_back
 
-    return read_back(*archive(table(spark, sf_dir, "pages")))
+    store = archive(table(spark, sf_dir, "pages"))
+    out = read_back(store)
+    store.drop()
+    return out
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,18 +50,18 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-#: What a user's turn must be to count as a valid call in op6_chat.
+#: What a user's turn must be to count as a valid call in op6_chat. The bounds are chosen so that some turns break them.
 ANSWER_SCHEMA = {
     "answer": {
-        "required": ["text", "turn"],
-        "properties": {"text": {"type": "string", "minLength": 1, "maxLength": 4000}, "turn": {"type": "integer", "minimum": 0}},
+        "required": ["lines", "text", "turn"],
+        "properties": {"lines": {"type": "integer", "minimum": 0, "maximum": 2}, "text": {"type": "string", "minLength": 24}, "turn": {"type": "integer", "minimum": 0}},
         "additionalProperties": False,
     }
 }
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn as a call answered by the assistant's next turn."""
+    """User turns as calls and assistant turns as results, with identifiers and dependencies that `from_turns` gives them."""
     from pyspark.sql import functions as F
 
     from .chat import formatted, from_turns
@@ -105,23 +108,49 @@ FROM named
 
 
 OP6_SQL = """
-WITH m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
-calls AS (SELECT conv_id, turn, conv_id || ':' || turn AS call_id, text FROM m WHERE role = 'user'),
-results AS (SELECT conv_id, turn, conv_id || ':' || (turn - 1) AS call_id, text FROM m WHERE role = 'assistant'),
-ranked_calls AS (
-  SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY json_object('text', text, 'turn', turn)::VARCHAR) AS k FROM calls
+WITH RECURSIVE m AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+u AS (SELECT conv_id, min(turn) AS first, max(turn) AS last FROM m WHERE role = 'user' GROUP BY 1),
+calls AS (
+  SELECT conv_id, turn, text, length(text) - length(replace(text, chr(10), '')) AS lines, conv_id || ':' || CASE WHEN conv_id % 5 = 3 THEN turn // 4 ELSE turn END AS call_id,
+    CASE conv_id % 5 WHEN 0 THEN CASE WHEN turn < last THEN conv_id || ':' || (turn + 2) END
+      WHEN 1 THEN conv_id || ':' || (turn - 2)
+      WHEN 2 THEN conv_id || ':' || CASE WHEN turn = first THEN last ELSE turn - 2 END
+      WHEN 3 THEN CASE WHEN turn > first AND (turn - 2) // 4 <> turn // 4 THEN conv_id || ':' || ((turn - 2) // 4) END
+      ELSE CASE WHEN turn > first THEN conv_id || ':' || (turn - 2) END END AS need
+  FROM m JOIN u USING (conv_id) WHERE role = 'user'
 ),
-ranked_results AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY text) AS k FROM results)
-SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, CASE WHEN c.k = 1 THEN r.turn END AS partner_turn,
-  CASE WHEN c.k > 1 THEN 'duplicate' WHEN length(c.text) NOT BETWEEN 1 AND 4000 THEN 'invalid' WHEN r.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
-  CASE WHEN length(c.text) < 1 THEN 'text: too short' WHEN length(c.text) > 4000 THEN 'text: too long' ELSE '' END AS errors,
-  c.turn AS order_turn, CAST(0 AS BIGINT) AS order_depth,
-  json_object('arguments', json_object('text', c.text, 'turn', c.turn), 'id', c.call_id, 'name', 'answer', 'type', 'tool_call')::VARCHAR AS json
-FROM ranked_calls c LEFT JOIN ranked_results r ON r.call_id = c.call_id AND r.k = 1
+spelled AS (
+  SELECT *, json_object('lines', lines, 'text', text, 'turn', turn) AS arguments,
+    concat_ws('; ', CASE WHEN lines > 2 THEN 'lines: too large' END, CASE WHEN length(text) < 24 THEN 'text: too short' END) AS errors FROM calls
+),
+ranked_calls AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY turn, arguments::VARCHAR) AS k FROM spelled),
+results AS (
+  SELECT conv_id, turn, text, conv_id || ':' || CASE conv_id % 5 WHEN 3 THEN (turn - 1) // 4 WHEN 4 THEN turn + 1 ELSE turn - 1 END AS call_id FROM m WHERE role = 'assistant'
+),
+ranked_results AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY turn, text) AS k FROM results),
+nodes AS (SELECT c.call_id, c.turn, c.need, r.turn AS result_turn FROM ranked_calls c LEFT JOIN ranked_results r ON r.call_id = c.call_id AND r.k = 1 WHERE c.k = 1),
+done AS (
+  SELECT call_id, turn AS t, CAST(0 AS BIGINT) AS d,
+    CASE WHEN result_turn IS NULL OR turn >= result_turn THEN turn ELSE result_turn END AS end_t, CAST(CASE WHEN turn >= result_turn THEN 1 ELSE 0 END AS BIGINT) AS end_d
+  FROM nodes WHERE need IS NULL
+  UNION ALL
+  SELECT call_id, t, d, CASE WHEN result_turn IS NULL OR t >= result_turn THEN t ELSE result_turn END, CASE WHEN result_turn IS NULL THEN d WHEN t >= result_turn THEN d + 1 ELSE 0 END
+  FROM (
+    SELECT n.call_id, n.result_turn, CASE WHEN end_t >= n.turn THEN end_t ELSE n.turn END AS t, CASE WHEN end_t >= n.turn THEN end_d + 1 ELSE 0 END AS d
+    FROM nodes n JOIN done ON n.need = done.call_id
+  )
+),
+placed AS (SELECT n.*, coalesce(t, turn) AS t, coalesce(d, 0) AS d, t IS NULL AS blocked FROM nodes n LEFT JOIN done USING (call_id))
+SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, CASE WHEN c.k = 1 THEN p.result_turn END AS partner_turn,
+  CASE WHEN c.k > 1 THEN 'duplicate' WHEN errors <> '' THEN 'invalid' WHEN p.blocked THEN 'blocked' WHEN p.result_turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+  errors, CASE WHEN c.k = 1 THEN p.t ELSE c.turn END AS order_turn, CASE WHEN c.k = 1 THEN p.d ELSE 0 END AS order_depth,
+  json_object('arguments', arguments, 'id', c.call_id, 'name', 'answer', 'type', 'tool_call')::VARCHAR AS json
+FROM ranked_calls c JOIN placed p USING (call_id)
 UNION ALL
-SELECT r.conv_id, r.turn, 'result', r.call_id, CASE WHEN r.k = 1 THEN c.turn END, CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.k > 1 THEN 'duplicate' ELSE 'linked' END, '', r.turn, 0,
+SELECT r.conv_id, r.turn, 'result', r.call_id, CASE WHEN r.k = 1 THEN p.turn END, CASE WHEN p.call_id IS NULL THEN 'orphan' WHEN r.k > 1 THEN 'duplicate' ELSE 'linked' END, '',
+  CASE WHEN p.t >= r.turn THEN p.t ELSE r.turn END, CASE WHEN p.t >= r.turn THEN p.d + 1 ELSE 0 END,
   json_object('content', r.text, 'id', r.call_id, 'type', 'tool_result')::VARCHAR
-FROM ranked_results r LEFT JOIN ranked_calls c ON c.call_id = r.call_id AND c.k = 1
+FROM ranked_results r LEFT JOIN placed p USING (call_id)
 UNION ALL
 SELECT conv_id, turn, 'message', NULL, NULL, 'plain', '', turn, 0, json_object('content', text, 'role', role, 'type', 'message')::VARCHAR
 FROM m WHERE coalesce(role, '') NOT IN ('user', 'assistant')

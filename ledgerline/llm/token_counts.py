@@ -5,14 +5,22 @@ prefix alone, so pre-tokens are walked in sorted order, which is the depth-first
 scores of the prefix that it shares with the one before and only works on the rest. The number of pieces at the end of a
 pre-token (its terminal count) is kept and looked up for all its occurrences.
 
+Scores. The pieces come from a SentencePiece model file given by path; control, unknown, byte and unused pieces are left
+out, and so are those that the file marks as never to be used (a score of NEVER or less). The file is a merge model, whose
+scores are minus the rank of a merge and no logarithms of anything. `fit` makes unigram scores of them on the corpus: it
+starts from Zipf's law over the ranks, segments every distinct pre-token of all documents by it, weighs the pieces used by
+the pre-token's number of occurrences, and takes the logarithm of each piece's share (one added to each count). That is one
+round of hard expectation-maximisation; its counts grow with the corpus, and the driver gets a number a piece.
+
 Ties in the score take the fewest pieces. A character that no piece covers counts as unknown: one token each, with the
-penalty UNKNOWN below the worst piece. Pieces come from a SentencePiece model file given by path, with its scores;
-control, unknown and byte pieces are left out. White space is the pre-token border and stands as the piece mark at the
-front of each word, as the library's default normaliser has it. Null and empty texts have 0 tokens.
+penalty UNKNOWN below the worst piece. White space is the pre-token border and stands as the piece mark at the front of each
+word, as the library's default normaliser has it. Pre-tokens are found by 64-bit hashes and compared on their bytes. Null
+and empty texts have 0 tokens; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,21 +28,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import NOT_SPACE, buffers, ranges, slices, span_hashes, words
+from .storage import forget, materialise
+from .text import BLOCK_BYTES, NOT_SPACE, buffers, ranges, slices, span_hashes, words
 
 MARK = "▁"
 UNKNOWN = 10.0
-WORD_CACHE = 600_000
-AT_ONCE = 4 << 20
+NEVER = -1e8
+WORD_CACHE = 300_000
+COUNTED_AT_ONCE = 8 << 20  # bytes of text whose pre-tokens are counted together
 
 
 def load_pieces(path: str) -> dict[str, float]:
-    """Normal pieces and their scores."""
+    """Normal pieces and their first scores: Zipf's law over the order that the file's scores give."""
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
-    plain = (i for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i)))
-    return {m.id_to_piece(i): float(m.get_score(i)) for i in plain}
+    plain = [i for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i)) and m.get_score(i) > NEVER]
+    ranked = sorted(plain, key=lambda i: (-m.get_score(i), i))
+    return {m.id_to_piece(i): -math.log(k + 2) for k, i in enumerate(ranked)}
 
 
 class Counter:
@@ -42,17 +53,16 @@ class Counter:
 
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN
         self.ends = {p[-1]: 0 for p in pieces}
         for p in pieces:
             self.ends[p[-1]] = max(self.ends[p[-1]], len(p))
 
-    def extend(self, word: str, score: list[float], count: list[int]) -> None:
-        """Forward scores and counts of the prefixes of `word` beyond those that are there."""
+    def extend(self, word: str, score: list[float], count: list[int], back: list[int]) -> None:
+        """Forward scores, counts and beginnings of the last piece, of the prefixes of `word` beyond those that are there."""
         find, ends, unknown = self.pieces.get, self.ends, self.unknown
         for i in range(len(score), len(word) + 1):
-            best, fewest = score[i - 1] + unknown, count[i - 1] + 1
+            best, fewest, begin = score[i - 1] + unknown, count[i - 1] + 1, i - 1
             piece = find(word[i - 1])
             if piece is not None:
                 best = score[i - 1] + piece
@@ -61,30 +71,80 @@ class Counter:
                 if piece is not None:
                     s = score[j] + piece
                     if s > best or s == best and count[j] + 1 < fewest:
-                        best, fewest = s, count[j] + 1
+                        best, fewest, begin = s, count[j] + 1, j
             score.append(best)
             count.append(fewest)
+            back.append(begin)
 
-    def counts(self, words: list[str]) -> list[int]:
-        """Terminal counts of words in sorted order."""
-        score, count, before, out = [0.0], [0], "", []
+    def walk(self, words: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+        """Each word, in sorted order, with the counts and beginnings of its prefixes."""
+        score, count, back, before = [0.0], [0], [0], ""
         for word in words:
             n, most = 0, min(len(before), len(word))
             while n < most and before[n] == word[n]:
                 n += 1
-            del score[n + 1 :], count[n + 1 :]
-            self.extend(word, score, count)
-            out.append(count[-1])
+            del score[n + 1 :], count[n + 1 :], back[n + 1 :]
+            self.extend(word, score, count, back)
+            yield word, count, back
             before = word
+
+    def counts(self, words: list[str]) -> list[int]:
+        """Terminal counts of words in sorted order."""
+        return [count[-1] for _, count, _ in self.walk(words)]
+
+    def usage(self, words: list[str], weights: list[int]) -> dict[str, int]:
+        """How often each piece is used in the best segmentations of words (sorted), by their weights."""
+        out: dict[str, int] = {}
+        for (word, _, back), weight in zip(self.walk(words), weights, strict=True):
+            i = len(word)
+            while i:
+                piece = word[back[i] : i]
+                out[piece] = out.get(piece, 0) + weight
+                i = back[i]
         return out
 
 
+def _cut(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> list[str]:
+    """The spans as strings, cut from one."""
+    n = e - s
+    joined = np.full(int(n.sum()) + len(n), 10, np.uint8)
+    at = np.cumsum(n + 1) - n - 1
+    joined[ranges(at, n)] = data[ranges(s, n)]
+    return joined.tobytes().decode("utf-8").split("\n")[:-1]
+
+
+def _differ(a: np.ndarray, s: np.ndarray, e: np.ndarray, b: np.ndarray, t: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Whether the spans s..e of a differ from t..u of b."""
+    out = e - s != u - t
+    same = np.flatnonzero(~out & (e > s))
+    n = (e - s)[same]
+    if len(n):
+        out[same] = np.logical_or.reduceat(a[ranges(s[same], n)] != b[ranges(t[same], n)], np.cumsum(n) - n)
+    return out
+
+
 class Worker:
     """Counts whole blocks of documents; distinct pre-tokens stay known from block to block (up to WORD_CACHE)."""
 
     def __init__(self, pieces: dict[str, float]):
         self.counter = Counter(pieces)
-        self.known, self.count = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.count, self.at = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.bytes, self.ends = np.empty(0, np.uint8), np.zeros(1, np.int64)  # of all known ones, as `at` numbers them
+
+    def learn(self, data: np.ndarray, hashes: np.ndarray, s: np.ndarray, e: np.ndarray) -> None:
+        text = [MARK + w for w in _cut(data, s, e)]
+        order = sorted(range(len(text)), key=text.__getitem__)
+        found = np.empty(len(text), np.int64)
+        found[order] = self.counter.counts([text[k] for k in order])
+        known, count = np.concatenate([self.known, hashes]), np.concatenate([self.count, found])
+        at = np.concatenate([self.at, len(self.ends) - 1 + np.arange(len(hashes))])
+        self.bytes = np.concatenate([self.bytes, data[ranges(s, e - s)]])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(e - s)])
+        way = np.argsort(known, kind="stable")
+        self.known, self.count, self.at = known[way], count[way], at[way]
 
     def totals(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pre-tokens and tokens of each document."""
@@ -93,52 +153,81 @@ class Worker:
         if not len(s):
             return np.zeros(n_docs, np.int64), np.zeros(n_docs, np.int64)
         unique, first, back = np.unique(span_hashes(data, s, e), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, unique)
-        have = np.zeros(len(unique), bool)
-        inside = at < len(self.known)
-        have[inside] = self.known[at[inside]] == unique[inside]
-        count = np.zeros(len(unique), np.int64)
-        count[have] = self.count[at[have]]
-        new = np.flatnonzero(~have)
-        if len(new):
-            x, y = s[first[new]], e[first[new]]
-            # Mark and word of each new pre-token, cut from one string.
-            text = [MARK + w for w in _cut(data, x, y)]
-            order = sorted(range(len(text)), key=text.__getitem__)
-            found = np.empty(len(text), np.int64)
-            found[order] = self.counter.counts([text[k] for k in order])
-            count[new] = found
-            if len(self.known) + len(new) > WORD_CACHE:
-                self.known, self.count = unique, count
-            else:
-                known, kept = np.concatenate([self.known, unique[new]]), np.concatenate([self.count, found])
-                way = np.argsort(known)
-                self.known, self.count = known[way], kept[way]
-        return np.bincount(doc, minlength=n_docs), np.bincount(doc, weights=count[back], minlength=n_docs).astype(np.int64)
+        for _ in range(2):
+            at = np.minimum(np.searchsorted(self.known, unique), max(0, len(self.known) - 1))
+            new = np.flatnonzero(self.known[at] != unique) if len(self.known) else np.arange(len(unique))
+            if not len(new):
+                break
+            if len(self.known) and len(self.known) + len(new) > WORD_CACHE:
+                self.forget()
+                new = np.arange(len(unique))
+            self.learn(data, unique[new], s[first[new]], e[first[new]])
+        count = self.count[at][back]
+        place = self.at[at][back]
+        wrong = np.flatnonzero(_differ(data, s, e, self.bytes, self.ends[place], self.ends[place + 1]))
+        if len(wrong):  # pre-tokens that share a hash with another one
+            count[wrong] = [self.counter.counts([MARK + w])[0] for w in _cut(data, s[wrong], e[wrong])]
+        return np.bincount(doc, minlength=n_docs), np.bincount(doc, weights=count, minlength=n_docs).astype(np.int64)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word and n: every pre-token of all documents and how often it stands there. Blocks count first."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = buffers(batch.column(0))
+            for i, j in slices(off, COUNTED_AT_ONCE):
+                parts = []
+                for a, b in slices(off[i : j + 1], BLOCK_BYTES):
+                    low = off[i + a]
+                    block = data[low : off[i + b]]
+                    s, e, _ = words(block, off[i + a : i + b + 1] - low, NOT_SPACE)
+                    parts.append((s + low, e + low, span_hashes(block, s, e)))
+                s, e, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+                _, first, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                lead = first[back]
+                wrong = np.flatnonzero(_differ(data, s, e, data, s[lead], e[lead]))
+                np.subtract.at(n, back[wrong], 1)
+                text = _cut(data, np.concatenate([s[first], s[wrong]]), np.concatenate([e[first], e[wrong]]))
+                yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array(np.concatenate([n, np.ones(len(wrong), np.int64)]))], ["word", "n"])
+
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, path: str) -> dict[str, float]:
+    """Unigram scores of the file's pieces, from all pre-tokens of `docs`."""
 
-def _cut(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> list[str]:
-    n = e - s
-    joined = np.full(int(n.sum()) + len(n), 10, np.uint8)
-    at = np.cumsum(n + 1) - n - 1
-    joined[ranges(at, n)] = data[ranges(s, n)]
-    return joined.tobytes().decode("utf-8").split("\n")[:-1]
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(load_pieces(path))
+        for batch in batches:
+            found = counter.usage([MARK + w for w in batch.column(0).to_pylist()], batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["piece", "n"])
 
-_workers: dict[str, Worker] = {}
+    counted = materialise(word_counts(docs).sortWithinPartitions("word"), "token-words")
+    used = counted.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    pieces = load_pieces(path)
+    vocabulary = docs.sparkSession.createDataFrame([(p,) for p in pieces], "piece string")
+    # Characters that no piece covers are left out, so that there is a row a piece at most.
+    counts = {r.piece: r.n for r in used.join(vocabulary, "piece", "left_semi").collect()}
+    forget(counted)
+    total = math.log(sum(counts.values()) + len(pieces)) if pieces else 0.0
+    return {p: math.log(counts.get(p, 0) + 1) - total for p in pieces}
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_words (pre-tokens) and n_tokens of every whole text; no shuffle."""
+    """doc_id, n_words (pre-tokens) and n_tokens of every whole text, by scores that `docs` themselves give."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _workers:
-            _workers[path] = Worker(load_pieces(path))
+        worker = Worker(sent.value)
         for batch in batches:
             data, off = buffers(batch.column(1))
-            parts = [_workers[path].totals(data[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off, AT_ONCE)]
+            parts = [worker.totals(data[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off, BLOCK_BYTES)]
             n, m = (np.concatenate([p[k] for p in parts]) if parts else np.empty(0, np.int64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(m, pa.int64())], ["doc_id", "n_words", "n_tokens"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_words long, n_tokens long")
+    return _texts(docs).mapInArrow(run, "doc_id long, n_words long, n_tokens long")

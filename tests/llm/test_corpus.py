@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 from collections import Counter
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import chat, decontaminate, ngram_join, suffix_dedup, url_filter, warc
 from ledgerline.llm.components import components
-from ledgerline.llm.queries import ANSWER_SCHEMA, URL_RULES
+from ledgerline.llm.queries import URL_RULES
 
 from .cases import hard_documents, no_documents
 
@@ -23,8 +24,8 @@ def shingle_set(text, k=4):
     return frozenset() if not w else frozenset([tuple(w)]) if len(w) < k else frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
 
 
-def brute_join(rows):
-    sets = [(LAST if i is None else i, shingle_set(t)) for i, t in rows]
+def brute_join(rows, k=4, percent=85):
+    sets = [(LAST if i is None else i, shingle_set(t, k)) for i, t in rows]
     parent = {i: i for i, _ in sets}
 
     def top(x):
@@ -38,7 +39,7 @@ def brute_join(rows):
             inverted.setdefault(e, []).append(k)
     for k, (i, x) in enumerate(sets):
         for m, shared in Counter(m for e in x for m in inverted[e] if m > k).items():
-            if 100 * shared >= 85 * (len(x) + len(sets[m][1]) - shared):
+            if 100 * shared >= percent * (len(x) + len(sets[m][1]) - shared):
                 a, b = top(i), top(sets[m][0])
                 parent[max(a, b)] = min(a, b)
     return sorted((i, len(x), top(i)) for i, x in sets)
@@ -84,6 +85,31 @@ def test_ngram_join_with_null_and_repeated_ids(spark, group):
     assert sorted((big(r.doc_id), r.n_shingles, big(r.component_id)) for r in got.collect()) == brute_join(rows)
 
 
+@pytest.mark.parametrize("group", [256, 4])
+def test_ngram_links_between_classes(spark, group):
+    rows, df = hard_documents(spark)
+    pairs, members = ngram_join.links(df, group=group)
+    sets = {}
+    for i, t in rows:
+        if x := shingle_set(t):
+            sets.setdefault(x, []).append(i)
+    key = lambda ids: tuple(sorted(-1 if i is None else i for i in ids))
+    classes = {}
+    for r in members.collect():
+        classes.setdefault(r["class"], []).append(r.doc_id)
+    assert sorted(map(key, classes.values())) == sorted(map(key, sets.values()))
+    want = {frozenset((key(a), key(b))): len(x & y) for x, a in sets.items() for y, b in sets.items() if x != y and 100 * len(x & y) >= 85 * len(x | y)}
+    got = [(frozenset((key(classes[r.a]), key(classes[r.b]))), r.shared) for r in pairs.collect()]
+    assert dict(got) == want and len(got) == len(want)
+
+
+def test_sizes_of_links_are_one_step_apart():
+    for percent in (50, 80, 85, 99, 100):
+        for n in range(1, 3000):
+            least = ngram_join.overlap_needed(n, percent)
+            assert ngram_join.size_step(n, percent) - ngram_join.size_step(max(1, least), percent) <= 1
+
+
 def test_divide_skip_counts_like_a_scan():
     import numpy as np
 
@@ -248,18 +274,36 @@ def test_warc(spark):
     long = "x" * 100
     rows = [(3, "http://a", long), (1, "http://b", long), (2, "u", "short"), (4, None, "short"), (5, "v\r\nInjected: yes", None), (1, "http://b", long), (None, "n", long), (6, "é", "é" * 50)]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, digest string")
-    payloads, headers = warc.archive(pages)
-    assert payloads.count() == 4
-    got = sorted(((-1 if r.page_id is None else r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_back(payloads, headers).collect())
+    store = warc.archive(pages)
+    assert store.payloads.count() == 4
+    got = sorted(((-1 if r.page_id is None else r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_back(store).collect())
     assert got == [(-1, 100, "revisit", 1), (1, 100, "response", None), (1, 100, "response", None), (2, 5, "response", None), (3, 100, "revisit", 1), (4, 5, "response", None), (5, 0, "response", None), (6, 100, "response", None)]
-    for r in warc.records(payloads, headers).collect():
-        head, _, body = bytes(r.record).partition(b"\r\n\r\n")
-        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and b"\r\nInjected" not in head
-        length = int(re.search(rb"Content-Length: (\d+)", head)[1])
-        assert body == body[:length] + b"\r\n\r\n" and (r.record_type == "response" or length == 0)
+    ids, bodies = set(), []
+    for (raw,) in warc.records(store).collect():
+        head, _, block = bytes(raw).partition(b"\r\n\r\n")
+        lines = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+        assert head.startswith(b"WARC/1.1\r\n") and {b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length"} <= set(lines) and b"Injected" not in lines
+        assert re.fullmatch(rb"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", lines[b"WARC-Record-ID"])
+        assert block[int(lines[b"Content-Length"]) :] == b"\r\n\r\n"
+        ids.add(lines[b"WARC-Record-ID"])
+        if lines[b"WARC-Type"] == b"response":
+            http, _, body = block[:-4].partition(b"\r\n\r\n")
+            assert http.startswith(b"HTTP/1.1 200") and int(http.rpartition(b": ")[2]) == len(body)
+            assert lines[b"WARC-Payload-Digest"] == b"sha256:" + hashlib.sha256(body).hexdigest().encode()
+            bodies.append(body.decode())
+    assert len(ids) == len(rows) and sorted(bodies) == sorted([long, long, "short", "short", "", "é" * 50])
+    rebuilt = warc.records(store)
+    with pytest.raises(Exception, match="as long as it says"):
+        warc.parsed(rebuilt.select(F.concat("record", F.lit(b"x")).alias("record"))).collect()
+    bad = warc.Archive(spark, store.name, store.headers)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW damaged AS SELECT digest, encode('x', 'UTF-8') AS payload FROM {store.name}")
+    bad.name = "damaged"
     with pytest.raises(Exception, match="differs from its digest"):
-        warc.read_back(payloads.withColumn("payload", F.lit(b"x")), headers).collect()
-    assert warc.read_back(*warc.archive(pages.limit(0))).count() == 0
+        warc.records(bad).collect()
+    store.drop()
+    empty = warc.archive(pages.limit(0))
+    assert warc.read_back(empty).count() == 0
+    empty.drop()
 
 
 def test_url_parts_and_rules(spark):
@@ -277,52 +321,83 @@ def test_url_parts_and_rules(spark):
     assert url_filter.judge(pages.limit(0), URL_RULES).count() == 0
 
 
-def test_url_models_learn_and_equal_brute_force(spark):
-    import numpy as np
-    import pyarrow as pa
-
+def brute_judge(spark, urls):
+    """(rule, verdict, score) of each url, from the definition: counts over the strings, threshold by trying every one."""
+    def parts(u):
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", u or "")
+        return (m[1].lower(), m[2]) if m else ("", "")
+
+    def ruled(u):
+        host, path = parts(u)
+        fits = [r for r, _ in URL_RULES if (host == r.partition("/")[0] or host.endswith("." + r.partition("/")[0])) and path.startswith("/" + r.partition("/")[2])]
+        return max(fits, key=len) if fits else None
+
+    body = [re.sub(r"(?s)^.*?://", "", u or "", count=1).encode() for u in urls]
+    rules = [ruled(u) for u in urls]
+    label = [None if r is None else dict(URL_RULES)[r] == "allow" for r in rules]
+    hashed = spark.createDataFrame([(k, b.decode()) for k, b in enumerate(body)], "k long, body string").selectExpr("k", "pmod(xxhash64(body), 5) = 0 as back").collect()
+    back = {r.k: r.back for r in hashed}
+    longest = url_filter.longest_context(sum(len(b) + 1 for b, x in zip(body, label, strict=True) if x is not None))
+
+    def model(which):
+        runs, follow = Counter(), {}
+        for b in which:
+            s = ["start", *b, "end"]
+            for i in range(1, len(s)):
+                for n in range(min(i, longest) + 1):
+                    context = tuple(s[i - n : i])
+                    runs[context, s[i]] += 1
+                    follow.setdefault(context, Counter())[s[i]] += 1
+
+        def p(context, symbol):
+            lower = 1 / 257 if not context else p(context[1:], symbol)
+            f = follow.get(context, Counter())
+            total = sum(f.values())
+            return (f[symbol] + len(f) * lower) / (total + len(f)) if total >= (2 if len(context) > 2 else 1) else lower
+
+        return p
+
+    def score(b, models):
+        s = ["start", *b, "end"]
+        logs = [math.log(m) for i in range(1, len(s)) for m in [models[0](tuple(s[max(0, i - longest) : i]), s[i]) / models[1](tuple(s[max(0, i - longest) : i]), s[i])]]
+        return sum(logs) / len(logs) if b else 0.0
+
+    pick = lambda want, fit: [b for k, b in enumerate(body) if label[k] is want and not (fit and back[k])]
+    fit, full = ([model(pick(True, f)), model(pick(False, f))] for f in (True, False))
+    held = [(score(b, fit), label[k]) for k, b in enumerate(body) if label[k] is not None and back[k]]
+    good, bad = sum(x for _, x in held), sum(not x for _, x in held)
+    bins = sorted({math.floor(s * url_filter.BIN + 0.5) for s, _ in held})
+    edges = [bins[0] - 0.5, *[(a + b) / 2 for a, b in zip(bins[:-1], bins[1:], strict=True)], bins[-1] + 0.5]
+    balance = lambda e: sum(math.floor(s * url_filter.BIN + 0.5) > e for s, x in held if x) / good + sum(math.floor(s * url_filter.BIN + 0.5) < e for s, x in held if not x) / bad
+    top = max(map(balance, edges))
+    limit = min((e for e in edges if balance(e) >= top - 1e-12), key=abs) / url_filter.BIN
+    scores = [score(b, full) for b in body]
+    verdict = [("allow" if x else "block") if x is not None else "allow" if not b or s >= limit else "block" for b, x, s in zip(body, label, scores, strict=True)]
+    return list(zip(rules, verdict, scores, strict=True)), limit
+
+
+def test_url_judge_equals_brute_force(spark, monkeypatch):
     rnd = random.Random(1)
-    good = [f"http://{''.join(rnd.choice('abcd') for _ in range(8))}.org/x" for _ in range(200)]
-    bad = [f"http://{''.join(rnd.choice('vwxyz') for _ in range(8))}.com/de/x" for _ in range(200)]
-    free = [("http://abcdabcd.net/", "allow"), ("http://vwxyzvwx.net/", "block")]
-    rows = [(i, u) for i, u in enumerate([*good, *bad, *[u for u, _ in free]])]
-    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string").repartition(3), URL_RULES).collect()}
-    assert [got[400 + k].verdict for k in range(2)] == [v for _, v in free]
-    counts = np.zeros(url_filter.BASE ** (url_filter.ORDER + 1), np.int64)
-    symbols, at = url_filter._symbols(pa.array(["abab", "aab"]))
-    np.add.at(counts, url_filter._codes(symbols, at, url_filter.ORDER), 1)
-    p = np.exp(url_filter.log_likelihoods(counts)).reshape(-1, url_filter.BASE)
-    assert np.allclose(p.sum(axis=1), 1)
-
-    def brute(context, symbol):  # Witten-Bell over the strings themselves
-        strings = [[31, 31, 31, 0, 1, 0, 1, 31], [31, 31, 31, 0, 0, 1, 31]]
-        def prob(ctx):
-            if ctx is None:
-                return 1 / 32
-            follow = [s[k] for s in strings for k in range(3, len(s)) if s[k - len(ctx) : k] == ctx]
-            lower = prob(ctx[1:] if ctx else None)
-            return lower if not follow else (follow.count(symbol) + len(set(follow)) * lower) / (len(follow) + len(set(follow)))
-        return prob(context)
-
-    for ctx, s in (([31, 31, 31], 0), ([31, 31, 0], 1), ([0, 1, 0], 1), ([5, 5, 5], 7), ([31, 0, 0], 1)):
-        code = ((ctx[0] * 32 + ctx[1]) * 32 + ctx[2]) * 32 + s
-        assert np.isclose(np.exp(url_filter.log_likelihoods(counts))[code], brute(ctx, s))
-
-
-def test_url_models_count_every_labelled_url(spark):
-    import numpy as np
-    import pyarrow as pa
-
-    rnd = random.Random(2)
-    word = lambda letters: "".join(rnd.choice(letters) for _ in range(8))
-    good, bad = [f"{word('abcd')}.org/x" for _ in range(40)], [f"{word('cdxyz')}.com/de/x" for _ in range(40)]
-    free = [f"{word('abcdxyz')}.net/" for _ in range(20)]
-    rows = [(i, "http://" + u) for i, u in enumerate([*good, *bad, *free])]
-    got = {r.page_id: r.score for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string").repartition(3), URL_RULES).collect()}
-    counts = np.zeros((2, url_filter.BASE ** (url_filter.ORDER + 1)), np.int64)
-    for k, urls in enumerate((good, bad)):
-        np.add.at(counts[k], url_filter._codes(*url_filter._symbols(pa.array(urls)), url_filter.ORDER), 1)
-    assert np.allclose([got[80 + k] for k in range(20)], url_filter.Ratio(*counts).scores(pa.array(free)))
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8)))
+    good = [f"http://{word('abcdé')}.org/{word('xy?=&')}" for _ in range(60)]
+    bad = [f"http://{word('cvwxyz')}.com/de/{word('123')}" for _ in range(60)]
+    free = ["http://abcdabcd.net/", "http://vwxyzvwx.net/", None, "", "http://", "ab.org", "http://漢字.net/#1", "http://net/" + "q" * 3000] + [f"http://{word('abcdvwxyz')}.net/{word('12?xy')}" for _ in range(20)]
+    urls = [*good, *bad, *free, *good[:9]]
+    want, limit = brute_judge(spark, urls)
+    pages = spark.createDataFrame([(k, u, "r", "b") for k, u in enumerate(urls)], "page_id long, url string, rule string, body string").repartition(3)
+    for at_once in (512 << 10, 300):
+        monkeypatch.setattr(url_filter, "CHUNK_BYTES", at_once)
+        got = {r.page_id: r for r in url_filter.judge(pages, URL_RULES).collect()}
+        assert len(got) == len(urls) and abs(got[0].threshold - limit) < 1e-9
+        for k, (rule, verdict, score) in enumerate(want):
+            assert (got[k].rule, got[k].verdict) == (rule, verdict) and abs(got[k].score - score) < 1e-6, urls[k]
+    assert [got[120 + k].verdict for k in range(5)] == ["allow", "block", "allow", "allow", "allow"]
+
+
+def test_url_models_of_one_kind_allow(spark):
+    rows = [(1, "http://a.org/"), (2, "http://b.org/x"), (3, "http://c.net/"), (None, None)]
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()
+    assert {(r.verdict, r.score, r.threshold) for r in got} == {("allow", 0.0, 0.0)}
 
 
 SCHEMAS = {"add": {"required": ["a"], "properties": {"a": {"type": "integer", "minimum": 0}, "b": {"type": "number"}, "unit": {"type": "string", "enum": ["m", "km"]}}, "additionalProperties": False}}
@@ -353,12 +428,72 @@ def test_chat_links_orders_and_validates(spark):
     assert chat.formatted(*chat.from_messages(df.limit(0)), SCHEMAS).count() == 0
 
 
-def test_chat_from_turns_has_no_python(spark, small, capsys):
-    df = spark.read.parquet(f"{small}/conversations.parquet")
-    out = chat.formatted(*chat.from_turns(df, "answer"), ANSWER_SCHEMA)
-    assert out.count() == df.distinct().count()
+def test_chat_from_turns_is_native_and_equals_sql(spark, small, capsys, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from ledgerline.llm.queries import OP6_SQL, op6_chat
+
+    out = op6_chat(spark, small)
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{small}/conversations.parquet')")
+    found = con.execute(OP6_SQL)
+    names = [c[0] for c in found.description]
+    rows = sorted(repr(tuple(r)) for r in out.select(*names).collect())
+    assert rows == sorted(repr(tuple(r)) for r in found.fetchall())
+    assert {r.status for r in out.select("status").distinct().collect()} >= {"linked", "orphan", "duplicate", "blocked", "invalid", "unanswered", "plain"}
+    assert out.agg(F.max("order_depth")).first()[0] > 0
     out.explain()
-    assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+    plan = capsys.readouterr().out
+    assert not re.search("Python|Pandas|Arrow", plan) and "ShuffledHashJoin" in plan
+
+
+def brute_places(calls, results):
+    """Place of each call by walking its dependencies; None for one that is blocked."""
+    later = lambda a, b: (a[0], a[1] + 1) if a >= b else b
+    memo = {}
+
+    def place(c, path=()):
+        if c not in calls or c in path:
+            return None
+        if c not in memo:
+            turn, needs = calls[c]
+            ends = []
+            for n in needs:
+                p = place(n, (*path, c))
+                ends.append(None if p is None else later(p, (results[n], 0)) if n in results else p)
+            got = None if None in ends else later(max(ends), (turn, 0)) if ends else (turn, 0)
+            if path:
+                return got
+            memo[c] = got
+        return memo[c]
+
+    return {c: place(c) for c in calls}
+
+
+@pytest.mark.parametrize("at_once", [256, 5])
+def test_chat_order_equals_brute_force(spark, monkeypatch, at_once):
+    monkeypatch.setattr(chat, "CALLS_AT_ONCE", at_once)
+    rnd = random.Random(7)
+    calls, results, want = [], [], {}
+    for conv in range(60):
+        n = rnd.randrange(1, 9)
+        ids = [f"c{k}" for k in range(n)]
+        own = {c: (rnd.randrange(12), sorted({rnd.choice([*ids, "gone"] if rnd.random() < 0.2 else ids[:k] or ids) for _ in range(rnd.randrange(3))})) for k, c in enumerate(ids)}
+        answered = {c: rnd.randrange(14) for c in ids if rnd.random() < 0.7}
+        calls += [(conv, t, c, "add", '{"a":1}', needs) for c, (t, needs) in own.items()]
+        results += [(conv, t, c, "r") for c, t in answered.items()]
+        want |= {(conv, c): (own[c][0] if p is None else p[0], 0 if p is None else p[1], p is None) for c, p in brute_places(own, answered).items()}
+    calls = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string")
+    got = chat.link(calls, results, SCHEMAS).where("kind = 'call'").collect()
+    assert {(r.conv_id, r.call_id): (r.order_turn, r.order_depth, r.status == "blocked") for r in got} == want
+
+
+def test_chat_settles_a_long_chain_in_one_expression(spark):
+    n = 200
+    calls = spark.createDataFrame([(1, n - k, f"c{k}", "add", '{"a":1}', [f"c{k - 1}"] if k else []) for k in range(n)], "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    got = {r.call_id: (r.order_turn, r.order_depth) for r in chat.link(calls, results, SCHEMAS).collect()}
+    assert got == {f"c{k}": (n, k) for k in range(n)}
 
 
 def test_pipeline_links_by_five_words_and_four_fifths(spark):
@@ -380,6 +515,70 @@ def test_pipeline_tells_rows_of_null_and_repeated_ids_apart(spark):
     assert Counter(got) == Counter([(1, text("a")), (None, text("b")), (None, text("c")), (5, text("d")), (4, text("e")), (None, None), (None, None)])
 
 
+def brute_pipeline(spark, docs, rows, labels, benchmark):
+    """What `run` returns for rows (doc_id, text), stage by stage and document by document."""
+    import numpy as np
+    import public_tokenizers as tok
+    import pyarrow as pa
+    import tiktoken
+
+    from ledgerline.llm import bpe, quality
+    from ledgerline.llm.text import buffers
+
+    forest = quality.fit(docs, labels)
+    rows = [r for r in rows if forest.score(np.concatenate([quality.statistics(*buffers(pa.array([r[1] or ""])))]))[0] >= 0.5]
+    component = {k: c for k, _, c in brute_join([(k, t) for k, (_, t) in enumerate(rows)], 5, 80)}
+    first = {}
+    for k, (i, t) in enumerate(rows):
+        if shingle_set(t, 5):
+            first[component[k]] = min(first.get(component[k], (LAST + 1, 0)), (LAST if i is None else i, k))
+    stay = {k for _, k in first.values()}
+    rows = [r for k, r in enumerate(rows) if k in stay or not shingle_set(r[1], 5)]
+    rows = [(i, t if t is None else kept.decode("utf-8", "ignore")) for i, t, kept in kept_bytes(rows, 50)]
+    words = lambda t: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    items = [(min(5, len(w)), grams(w, min(5, len(w)))) for w in map(words, benchmark) if w]
+    rows = [(i, t) for i, t in rows if not any(100 * len(g & grams(words(t), n)) >= 80 * len(g) for n, g in items)]
+    lib = tiktoken.Encoding("own", pat_str=tok.PATTERN, mergeable_ranks=bpe.load_ranks(tok.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    out = []
+    for i, t in rows:
+        ids = lib.encode_ordinary(t or "")
+        out.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    return out
+
+
+def test_pipeline_equals_brute_force(spark, small, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rnd = random.Random(11)
+    have = [(r.doc_id, r.text) for r in docs.collect()]
+    text = max((t for _, t in have if len(t) < 3000), key=len)
+    far = lambda k: " ".join(f"{w}{k}" if rnd.random() < 0.5 else w for w in text.split())
+    more = [(None, None), (None, have[5][1]), (None, far(1)), (9001, ""), (9002, None), (9003, far(2)), (9003, far(3)), (9004, have[7][1] + " more"), (9005, text + " " + far(4) + " " + "lang ähnlich " * 9000), (have[3][0], have[3][1])]
+    extra = spark.createDataFrame([(i, t, "en", "x", len(t) if t else None) for i, t in more], docs.schema)
+    whole = docs.unionByName(extra)
+    for c in ("_id", "_row", "rest0", "no_text", "found_items", "chunk", "features"):
+        whole = whole.withColumn(c, F.lit(c))
+    whole.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    at = str(tmp_path)
+    labels, benchmark = spark.read.parquet(f"{at}/labels.parquet"), spark.read.parquet(f"{at}/benchmark.parquet")
+    want = brute_pipeline(spark, spark.read.parquet(f"{at}/documents.parquet"), have + more, labels, [r.text for r in benchmark.collect()])
+    got = corpus_pipeline.run(spark, at)
+    assert Counter(tuple(r) for r in got.collect()) == Counter(want)
+    assert 100 < len(want) < len(have)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, whole, at).columns == whole.columns, name
+
+
+def test_pipeline_of_nothing(spark, small, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_keeps_clean_documents(spark, small):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{small}/documents.parquet")

@@ -1,9 +1,11 @@
 """Operators on single texts: BPE, token counts, transport streams, quality."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -95,14 +97,29 @@ def test_token_counts_do_not_depend_on_sharing():
 
 def test_token_counts_on_hard_documents(spark):
     rows, df = hard_documents(spark)
-    counter = token_counts.Counter(token_counts.load_pieces(tok.path("piece_bpe_32k.model")))
+    path = tok.path("piece_bpe_32k.model")
     split = lambda t: [w for w in re.split(r"[ \t\n\r\x0b\x0c]+", t or "") if w]
-    short = [(i, t) for i, t in rows if len(t or "") < 5000]
-    want = sorted((-1 if i is None else i, len(split(t)), sum(counter.counts([token_counts.MARK + w])[0] for w in split(t))) for i, t in short)
-    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_tokens) for r in token_counts.token_counts(df.where("length(coalesce(text, '')) < 5000"), tok.path("piece_bpe_32k.model")).collect())
-    assert got == want
-    assert token_counts.token_counts(df, tok.path("piece_bpe_32k.model")).count() == len(rows)
-    assert token_counts.token_counts(no_documents(spark), tok.path("piece_bpe_32k.model")).count() == 0
+    first = token_counts.load_pieces(path)
+    used, one = {}, token_counts.Counter(first)
+    for w, many in Counter(token_counts.MARK + w for _, t in rows for w in split(t)).items():
+        for p, n in one.usage([w], [1]).items():
+            used[p] = used.get(p, 0) + n * many
+    total = sum(n for p, n in used.items() if p in first) + len(first)
+    scores = token_counts.fit(df, path)
+    assert scores.keys() == first.keys() and all(abs(scores[p] - math.log((used.get(p, 0) + 1) / total)) < 1e-9 for p in first)
+    assert abs(sum(map(math.exp, scores.values())) - 1) < 1e-6
+    counter = token_counts.Counter(scores)
+    known = {w: counter.counts([token_counts.MARK + w])[0] for w in {w for _, t in rows for w in split(t)}}
+    want = sorted((-1 if i is None else i, len(split(t)), sum(known[w] for w in split(t))) for i, t in rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_tokens) for r in token_counts.token_counts(df, path).collect()) == want
+    assert token_counts.token_counts(no_documents(spark), path).count() == 0
+
+
+def test_token_counts_do_not_trust_hashes(monkeypatch):
+    monkeypatch.setattr(token_counts, "span_hashes", lambda data, s, e: np.zeros(len(s), np.uint64))
+    pieces = {token_counts.MARK: -1.0, "a": -2.0, "b": -2.0, "ab": -2.5}
+    data, off = buffers(pa.array(["ab a ab", "b abab", ""]))
+    assert [x.tolist() for x in token_counts.Worker(pieces).totals(data, off)] == [[3, 2, 0], [6, 5, 0]]
 
 
 @pytest.mark.parametrize("n", [0, 1, 161, 162, 163, 346, 2921, 2922, 2923, 5844, 100_000])
@@ -126,6 +143,68 @@ def test_transport_stream_damage_is_found():
         mpegts.demux(bytes(stream[:-188]))
 
 
+def ts_packet(pid, payload, counter, start=False, flags=None, control=None):
+    """One packet; an adaptation field (its flag byte, if any) fills up what the payload leaves."""
+    room = 184 - len(payload)
+    body = b""
+    if room or flags is not None:
+        body = bytes([room - 1]) + (bytes([flags or 0]) + b"\xff" * (room - 2) if room > 1 else b"")
+    kind = control or (0x30 if body else 0x10)
+    return bytes([0x47, start << 6 | pid >> 8, pid & 255, kind | counter & 15]) + body + payload
+
+
+def ts_section(table, key, body):
+    head = bytes([table, 0xB0 | (len(body) + 9) >> 8, (len(body) + 9) & 255, key >> 8, key & 255, 0xC1, 0, 0]) + body
+    return head + mpegts.crc32_mpeg(head).to_bytes(4, "big")
+
+
+def ts_pes(data, length=None, stamp=b"\x21\x00\x01\x00\x03", sid=0xE0):
+    n = len(data) + 3 + len(stamp) if length is None else length
+    return b"\0\0\1" + bytes([sid, n >> 8, n & 255, 0x80, 0x80 if stamp else 0, len(stamp)]) + stamp + data
+
+
+def test_foreign_transport_stream():
+    # A map whose descriptors fill several packets, a network entry, two programs, and two streams of the second.
+    descriptors = bytes([0x05, 200]) + b"d" * 200 + bytes([0x0A, 4]) + b"eng\0"
+    pmt = ts_section(2, 7, b"\xe1\x01" + bytes([0xF0 | len(descriptors) >> 8, len(descriptors) & 255]) + descriptors + b"\x03\xe1\x02\xf0\x03abc" + b"\x1b\xe1\x03\xf0\x00")
+    other = ts_section(2, 9, b"\xe0\x50\xf0\x00\x0f\xe0\x50\xf0\x00")
+    pat = ts_section(0, 1, b"\0\0\xe0\x10" + b"\0\x09\xe0\x31" + b"\0\x07\xe0\x30")
+    first, rest = (b"\0" + pmt)[:184], (b"\0" + pmt)[184:]
+    null = ts_packet(0x1FFF, b"n" * 184, 3)
+    a, b = b"x" * 184, b"y" * 100
+    one = ts_pes(b"1" * 100, stamp=bytes([0x21, 0, 1, 0, 0x21]))  # stamp 16
+    packets = [
+        null, ts_packet(0, b"\0" + pat, 0, True), ts_packet(0x31, b"\0" + other, 0, True), ts_packet(0x30, first, 4, True), null, ts_packet(0x30, rest, 5),
+        ts_packet(0x102, b"audio", 0), ts_packet(0x103, one, 14, True, flags=0x40), ts_packet(0x103, b"", 14, flags=0, control=0x20),
+        ts_packet(0x103, ts_pes(b"2" * 170, length=0), 15, True), ts_packet(0x103, a, 0), ts_packet(0x103, a, 0), ts_packet(0x103, b, 1),
+        ts_packet(0x103, ts_pes(b"3" * 9, stamp=b""), 9, True, flags=0x80), ts_packet(0x103, ts_pes(b"", 0, b"", sid=0xBE)[:6] + b"pad", 10, True),
+    ]
+    found = mpegts.demux(b"".join(packets), program=7, stream_type=0x1B)
+    assert found["streams"] == [(3, 0x102), (0x1B, 0x103)]
+    assert found["payload"] == b"1" * 100 + b"2" * 170 + a + b + b"3" * 9 + b"pad"
+    assert found["sizes"].tolist() == [100, 454, 9, 3] and found["pts"].tolist() == [16, 1, -1, -1] and found["random_access"].tolist() == [True, False, False, False]
+    for bad, why in (
+        (packets[:9] + [ts_packet(0x103, ts_pes(b"2" * 170, length=0), 1, True)], "jumps"),
+        (packets[:12] + [ts_packet(0x103, a, 0)], "jumps"),  # sent three times
+        (packets[:7] + [ts_packet(0x103, ts_pes(b"1" * 100, length=200), 14, True)], "incomplete"),
+        (packets[:4], "no packet of table 2"),
+        (packets[:7] + [ts_packet(0x103, b"no start code", 1, True)], "no start code"),
+    ):
+        with pytest.raises(mpegts.StreamError, match=why):
+            mpegts.demux(b"".join(bad), program=7, stream_type=0x1B)
+    for wanted in ({"program": 3}, {"program": 7, "stream_type": 2}):
+        with pytest.raises(mpegts.StreamError, match="no such"):
+            mpegts.demux(b"".join(packets), **wanted)
+
+
+def test_tables_repeat_before_random_access():
+    stream = mpegts.mux(b"z" * (mpegts.UNIT_BYTES * 20))
+    packets = np.frombuffer(stream, np.uint8).reshape(-1, 188)
+    tables = packets[mpegts._pids(packets) == 0]
+    assert len(tables) == 3 and (tables[:, 3] & 15).tolist() == [0, 1, 2]
+    assert mpegts.demux(stream)["payload"] == b"z" * (mpegts.UNIT_BYTES * 20)
+
+
 def test_transport_stream_query(spark):
     rows, df = hard_documents(spark)
     got = mpegts.features(mpegts.media_table(df)).collect()
