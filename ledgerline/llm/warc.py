@@ -98,11 +98,11 @@ def archive(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> Arc
         ).alias("header"),
     )
     written = materialise(headers, "warc-headers")
-    # Payloads move once, to their digest's bucket, where one of equal ones is kept. Only smallest pages send theirs.
+    # Payloads move once, to their digest's bucket. A task sends one of equal ones, and the bucket keeps one.
     name = f"ledgerline_warc_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stored = page.select("key", "digest", "payload").join(firsts.select("digest", F.col("first.key").alias("key")), ["digest", "key"], "left_semi")
-    stored.select("digest", "payload").repartition(buckets, "digest").dropDuplicates(["digest"]).write.bucketBy(buckets, "digest").option("parquet.block.size", ROW_GROUP_BYTES).format("parquet").saveAsTable(name)
+    stored = page.select("digest", "payload").dropDuplicates(["digest"])
+    stored.write.bucketBy(buckets, "digest").option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).format("parquet").saveAsTable(name)
     forget(narrow)
     return Archive(spark, name, written)
 
