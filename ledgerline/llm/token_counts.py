@@ -20,6 +20,7 @@ and empty texts have 0 tokens; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -34,8 +35,9 @@ from .text import BLOCK_BYTES, NOT_SPACE, buffers, ranges, slices, span_hashes,
 MARK = "▁"
 UNKNOWN = 10.0
 NEVER = -1e8
-WORD_CACHE = 300_000
-COUNTED_AT_ONCE = 8 << 20  # bytes of text whose pre-tokens are counted together
+WORD_CACHE = 1_500_000  # distinct pre-tokens that a Python worker knows at most (about 60 MB); emptied when full
+AT_ONCE = 1 << 20  # bytes of text segmented together
+COUNTED_AT_ONCE = 4 << 20  # bytes of text whose pre-tokens are counted together
 
 
 def load_pieces(path: str) -> dict[str, float]:
@@ -54,24 +56,31 @@ class Counter:
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN
-        self.ends = {p[-1]: 0 for p in pieces}
+        # Lengths of the pieces that end in three characters, longest first, so that only those are looked up.
+        ends: dict[str, set[int]] = {}
         for p in pieces:
-            self.ends[p[-1]] = max(self.ends[p[-1]], len(p))
+            if len(p) > 2:
+                ends.setdefault(p[-3:], set()).add(len(p))
+        self.ends = {k: sorted(v, reverse=True) for k, v in ends.items()}
 
     def extend(self, word: str, score: list[float], count: list[int], back: list[int]) -> None:
         """Forward scores, counts and beginnings of the last piece, of the prefixes of `word` beyond those that are there."""
-        find, ends, unknown = self.pieces.get, self.ends, self.unknown
+        find, ends, unknown = self.pieces.get, self.ends.get, self.unknown
         for i in range(len(score), len(word) + 1):
             best, fewest, begin = score[i - 1] + unknown, count[i - 1] + 1, i - 1
             piece = find(word[i - 1])
             if piece is not None:
                 best = score[i - 1] + piece
-            for j in range(max(0, i - ends.get(word[i - 1], 0)), i - 1):
-                piece = find(word[j:i])
-                if piece is not None:
-                    s = score[j] + piece
-                    if s > best or s == best and count[j] + 1 < fewest:
-                        best, fewest, begin = s, count[j] + 1, j
+            if i > 1:
+                for n in (*ends(word[i - 3 : i], ()), 2) if i > 2 else (2,):
+                    j = i - n
+                    if j < 0:
+                        continue
+                    piece = find(word[j:i])
+                    if piece is not None:
+                        s = score[j] + piece
+                        if s > best or s == best and count[j] + 1 < fewest:
+                            best, fewest, begin = s, count[j] + 1, j
             score.append(best)
             count.append(fewest)
             back.append(begin)
@@ -135,16 +144,16 @@ class Worker:
         self.bytes, self.ends = np.empty(0, np.uint8), np.zeros(1, np.int64)  # of all known ones, as `at` numbers them
 
     def learn(self, data: np.ndarray, hashes: np.ndarray, s: np.ndarray, e: np.ndarray) -> None:
+        """Count new pre-tokens, given in the order of their hashes."""
         text = [MARK + w for w in _cut(data, s, e)]
         order = sorted(range(len(text)), key=text.__getitem__)
         found = np.empty(len(text), np.int64)
         found[order] = self.counter.counts([text[k] for k in order])
-        known, count = np.concatenate([self.known, hashes]), np.concatenate([self.count, found])
-        at = np.concatenate([self.at, len(self.ends) - 1 + np.arange(len(hashes))])
+        at = len(self.ends) - 1 + np.arange(len(hashes))
         self.bytes = np.concatenate([self.bytes, data[ranges(s, e - s)]])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(e - s)])
-        way = np.argsort(known, kind="stable")
-        self.known, self.count, self.at = known[way], count[way], at[way]
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.count, self.at = np.insert(self.known, place, hashes), np.insert(self.count, place, found), np.insert(self.at, place, at)
 
     def totals(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pre-tokens and tokens of each document."""
@@ -218,15 +227,24 @@ def fit(docs: DataFrame, path: str) -> dict[str, float]:
     return {p: math.log(counts.get(p, 0) + 1) - total for p in pieces}
 
 
+#: What a Python worker has learnt of the scores that it used last.
+_workers: dict[str, Worker] = {}
+
+
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_words (pre-tokens) and n_tokens of every whole text, by scores that `docs` themselves give."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, path))
+    scores = fit(docs, path)
+    name = hashlib.sha256(repr(sorted(scores.items())).encode()).hexdigest()
+    sent = docs.sparkSession.sparkContext.broadcast(scores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker = Worker(sent.value)
+        if name not in _workers:
+            _workers.clear()
+            _workers[name] = Worker(sent.value)
+        worker = _workers[name]
         for batch in batches:
             data, off = buffers(batch.column(1))
-            parts = [worker.totals(data[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off, BLOCK_BYTES)]
+            parts = [worker.totals(data[off[i] : off[j]], off[i : j + 1] - off[i]) for i, j in slices(off, AT_ONCE)]
             n, m = (np.concatenate([p[k] for p in parts]) if parts else np.empty(0, np.int64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(m, pa.int64())], ["doc_id", "n_words", "n_tokens"])
 
