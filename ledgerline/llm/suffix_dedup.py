@@ -95,20 +95,23 @@ class Strings:
         self.text, self.span, self.gram, self.buckets = text, span, gram, buckets
         # The order of grams is that of the bucket, then of the hash's high half.
         key = (g % U64(buckets)) << U64(32) | g >> U64(32)
-        self.grams, self.of = np.unique(key, return_inverse=True)
+        self.order = np.argsort(key)
+        new = np.ones(len(key), bool)
+        new[1:] = key[self.order][1:] != key[self.order][:-1]
+        self.first = np.flatnonzero(new)
+        self.grams = key[self.order[self.first]]
+        self.of = np.empty(len(key), np.int64)  # gram of each string
+        self.of[self.order] = np.cumsum(new) - 1
         self.cuts = np.searchsorted(self.grams, np.arange(buckets + 1, dtype=U64) << U64(32))
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Of each gram the number of strings (by hash), and whether several documents of the chunk have it."""
-        order = np.lexsort((self.hash, self.of))
-        o, h = self.of[order], self.hash[order]
-        new = np.ones(len(o), bool)
-        new[1:] = (o[1:] != o[:-1]) | (h[1:] != h[:-1])
-        first = np.searchsorted(o, np.arange(len(self.grams)))
-        if not len(first):
+        if not len(self.grams):
             return np.empty(0, np.int64), np.empty(0, bool)
-        own = self.owner[order]
-        return np.add.reduceat(new, first, dtype=np.int64), np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
+        both = np.sort(self.of.astype(U64) << U64(40) | self.hash >> U64(24))
+        distinct = np.append(both[1:] != both[:-1], True)
+        own = self.owner[self.order]
+        return np.bincount((both[distinct] >> U64(40)).astype(np.int64)), np.minimum.reduceat(own, self.first) != np.maximum.reduceat(own, self.first)
 
     def choose(self, wanted: np.ndarray) -> None:
         """Tell the strings of the wanted grams apart: `some` has one of each distinct one, `least` its smallest doc_id.
@@ -283,62 +286,62 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[int], li
     k = 1
     while k < len(runs):
         k *= 2
-    done = len(runs)
-    cur: list[bytes | None] = [r[1][0] if r[1] else None for r in runs] + [None] * (k - done)
-    left = [len(r[1]) for r in runs] + [0] * (k - done)
-    pos, lcp = [0] * k, [0] * k
-    loser = [-1] * (2 * k)
-
-    def play(a: int, b: int) -> tuple[int, int]:
-        """Winner and loser; the loser's common prefix becomes that with the winner."""
+    cur: list[bytes] = [r[1][0] if r[1] else b"" for r in runs] + [b""] * (k - len(runs))
+    left = [len(r[1]) for r in runs] + [0] * (k - len(runs))
+    # A run at its end shares -1 bytes: that makes it larger than every other.
+    lcp = [0 if n else -1 for n in left]
+    pos = [0] * k
+
+    def beyond(a: int, b: int, same: int) -> int:
+        """Of two candidates that share `same` bytes with the last winner: the larger one, which is given what it shares
+        with the smaller one. Equal ones keep their order."""
         x, y = cur[a], cur[b]
-        if x is None:
-            return b, a
-        if y is None:
-            return a, b
-        h, g = lcp[a], lcp[b]
-        if h != g:
-            return (a, b) if h > g else (b, a)
         if x == y:
             lcp[b] = len(x)
-            return a, b
+            return b
         most = min(len(x), len(y))
-        u, v = x[h:most], y[h:most]
+        u, v = x[same:most], y[same:most]
         if u == v:
-            same = most
-            first = len(x) < len(y)
-        else:
-            z = int.from_bytes(u) ^ int.from_bytes(v)
-            same = h + len(u) - 1 - (z.bit_length() - 1) // 8
-            first = x[same] < y[same]
-        if first:
-            lcp[b] = same
-            return a, b
-        lcp[a] = same
-        return b, a
-
-    winners = list(range(k))
-    level = k
-    tree = [-1] * k + winners
-    while level > 1:
-        level //= 2
-        for node in range(level, 2 * level):
-            tree[node], loser[node] = play(tree[2 * node], tree[2 * node + 1])
-    top = tree[1] if k > 1 else 0
+            larger = b if len(x) < len(y) else a
+            lcp[larger] = most
+            return larger
+        z = int.from_bytes(u) ^ int.from_bytes(v)
+        at = most - 1 - (z.bit_length() - 1) // 8
+        larger = b if x[at] < y[at] else a
+        lcp[larger] = at
+        return larger
+
+    tree = [-1] * k + list(range(k))
+    loser = [-1] * k
+    for node in range(k - 1, 0, -1):
+        a, b = tree[2 * node], tree[2 * node + 1]
+        g, h = lcp[a], lcp[b]
+        worse = beyond(a, b, g) if g == h >= 0 else b if g >= h else a
+        tree[node], loser[node] = a + b - worse, worse
+    top = tree[1]
     order, common = [], []
-    while cur[top] is not None:
-        order.append(top)
-        common.append(lcp[top])
+    tails = [r[1] for r in runs]
+    shared = [r[0] for r in runs]
+    out, prefix = order.append, common.append
+    while lcp[top] >= 0:
+        out(top)
+        prefix(lcp[top])
         at = pos[top] = pos[top] + 1
         if at < left[top]:
-            shared = runs[top][0][at]
-            cur[top] = cur[top][:shared] + runs[top][1][at]
-            lcp[top] = shared
+            h = lcp[top] = shared[top][at]
+            cur[top] = cur[top][:h] + tails[top][at]
         else:
-            cur[top] = None
+            h = lcp[top] = -1
         node = (top + k) // 2
         while node:
-            top, loser[node] = play(top, loser[node])
+            other = loser[node]
+            g = lcp[other]
+            if g > h:
+                loser[node], top, h = top, other, g
+            elif g == h >= 0:
+                # The winner of two keeps what it shares with the last output.
+                if beyond(top, other, h) == top:
+                    loser[node], top = top, other
             node //= 2
     return order, common
 
