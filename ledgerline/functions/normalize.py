@@ -105,8 +105,9 @@ def shard_of(c: Column, n: int) -> Column:
 
 def vendor_key(name: Column) -> Column:
     """A rough key of one firm's spellings: no trailing number, no legal words, letters and digits only."""
-    c = F.upper(name)
-    c = F.regexp_replace(c, r"[\s.,#-]*\d[\d\s.-]*\z", " ")
+    # A number at the end goes with the signs around it; signs alone would become blanks below anyway.
+    blanks = " \t\n\r\f\x0b"
+    c = F.rtrim(F.rtrim(F.upper(name), F.lit("0123456789.-" + blanks)), F.lit(".,#-" + blanks))
     c = F.regexp_replace(c, rf"\b({'|'.join(NOISE_WORDS)})\b", " ")
     c = F.regexp_replace(c, r"[^A-Z0-9 ]", " ")
     return F.trim(F.regexp_replace(c, " +", " "))
@@ -138,6 +139,61 @@ def csv_guard(c: Column) -> Column:
     return F.when(c.rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), c)).otherwise(c)
 
 
+def json_field(c: Column, schema: str, *path: str) -> Column:
+    """A field of a JSON text, through structs and maps; null where it isn't there."""
+    out = F.from_json(c, schema)
+    for name in path:
+        out = out.getItem(name)
+    return out
+
+
+def packed_list(items: Column, *fields: str) -> Column:
+    """A list of structs of strings as bytes: each string behind its length (four bytes)."""
+    size = lambda b: F.unhex(F.lpad(F.hex(F.octet_length(b)), 8, "0"))
+    one = lambda x: F.concat(*[p for f in fields for b in [F.encode(F.coalesce(x[f], F.lit("")), "UTF-8")] for p in (size(b), b)])
+    return F.unhex(F.array_join(F.transform(items, lambda x: F.hex(one(x))), ""))
+
+
+def unpacked_list(raw: Column, *fields: str) -> Column:
+    """What `packed_list` has packed. Bytes that are left over, or too few, give null."""
+    kind = "struct<at:int,out:array<string>>"
+    total = F.octet_length(raw)
+    length = lambda at: F.conv(F.hex(F.substring(raw, at + 1, F.lit(4))), 16, 10).cast("int")
+    text = lambda at: F.decode(F.substring(raw, at + 5, length(at)), "UTF-8")
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")).cast(kind)
+    step = lambda s, _: F.when(s["at"] < total, F.struct((s["at"] + 4 + length(s["at"])).alias("at"), F.array_append(s["out"], text(s["at"])).alias("out"))).otherwise(s).cast(kind)
+    # Every string takes four bytes at least, so there are no more steps than that.
+    read = F.aggregate(F.sequence(F.lit(0), F.floor(total / 4)), start, step)
+    n = len(fields)
+    groups = F.transform(F.sequence(F.lit(0), (F.size(read["out"]) / n).cast("int")), lambda k: F.struct(*[F.get(read["out"], (k * n + i).cast("int")).alias(f) for i, f in enumerate(fields)]))
+    return F.when(read["at"] == total, F.slice(groups, 1, (F.size(read["out"]) / n).cast("int")))
+
+
+def varint_deltas(ids: Column) -> Column:
+    """Ascending numbers as bytes: each difference in groups of seven bits, the lowest first, the high bit set while more follow."""
+    deltas = F.transform(ids, lambda x, i: x - F.when(i > 0, F.get(ids, i - 1)).otherwise(0))
+    group = lambda d, k: F.shiftright(d, 7 * k).bitwiseAND(127)
+    byte = lambda d, k: F.lpad(F.hex(group(d, k) + F.when(F.shiftright(d, 7 * (k + 1)) > 0, 128).otherwise(0)), 2, "0")
+    one = lambda d: F.concat(byte(d, 0), *[F.when(F.shiftright(d, 7 * k) > 0, byte(d, k)).otherwise("") for k in range(1, 9)])
+    return F.unhex(F.array_join(F.transform(deltas, one), ""))
+
+
+def from_varint_deltas(raw: Column) -> Column:
+    """The numbers that `varint_deltas` has written."""
+    kind = "struct<shift:int,part:bigint,last:bigint,out:array<bigint>>"
+    start = F.struct(F.lit(0).alias("shift"), F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("last"), F.array().cast("array<bigint>").alias("out")).cast(kind)
+    places = F.when(F.octet_length(raw) > 0, F.sequence(F.lit(1), F.octet_length(raw))).otherwise(F.array().cast("array<int>"))
+
+    def step(s: Column, at: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(raw, at, F.lit(1))), 16, 10).cast("long")
+        part = s["part"] + byte.bitwiseAND(127) * F.pow(F.lit(2), s["shift"]).cast("long")
+        more = F.struct((s["shift"] + 7).alias("shift"), part.alias("part"), s["last"].alias("last"), s["out"].alias("out"))
+        done = F.struct(F.lit(0).alias("shift"), F.lit(0).cast("long").alias("part"), (s["last"] + part).alias("last"), F.array_append(s["out"], s["last"] + part).alias("out"))
+        return F.when(byte >= 128, more.cast(kind)).otherwise(done.cast(kind)).cast(kind)
+
+    return F.aggregate(places, start, step)["out"]
+
+
 def capped(text: Column, limit: int = 4000) -> Column:
     """struct(text, clipped)."""
     return F.struct(F.left(text, F.lit(limit)).alias("text"), (F.length(text) > limit).alias("clipped"))

@@ -112,6 +112,22 @@ def is_verbatim(description: Column, text: Column) -> Column:
     return F.aggregate(words, F.coalesce(text, F.lit("")), step).isNotNull()
 
 
+def right_of_label(boxes: DataFrame, label: list[str], page: str = "page", band: float = 3.0) -> DataFrame:
+    """page, value: the words right of a label, in order, whose middle lies within `band` of the label's middle.
+
+    boxes: page, text, x0, x1, top, bottom of each word. The label is a run of words of one line; of several the first counts.
+    """
+    middle = (F.col("top") + F.col("bottom")) / 2
+    words = boxes.select(page, F.struct(F.round(middle, 1).alias("y"), "x0", "x1", F.col("text").alias("w")).alias("b")).groupBy(page).agg(F.sort_array(F.collect_list("b")).alias("bs"))
+    wanted = F.array(*[F.lit(w.lower()) for w in label])
+    n = len(label)
+    at = F.filter(F.sequence(F.lit(1), F.greatest(F.size("bs") - n + 1, F.lit(1))), lambda k: F.transform(F.slice("bs", k, F.lit(n)), lambda b: F.lower(b["w"])) == wanted)
+    found = words.withColumn("last", F.get("bs", F.get(at, F.lit(0)) + n - 2)).where("last is not null")
+    right = F.filter("bs", lambda b: (b["x0"] >= F.col("last.x1")) & (F.abs(b["y"] - F.col("last.y")) <= band))
+    in_order = F.array_sort(F.transform(right, lambda b: F.struct(b["x0"].alias("x"), b["w"].alias("w"))))
+    return found.select(page, F.array_join(F.transform(in_order, lambda b: b["w"]), " ").alias("value"))
+
+
 def same_geometry(a: Column, b: Column, least: int = 40) -> Column:
     """Equal after flattening, or one begins with the other's first 40 characters."""
     x, y = (F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " ")) for c in (a, b))

@@ -46,21 +46,36 @@ def coverage_gap(entities: DataFrame, statuses: list[str], done: DataFrame) -> D
 
 
 def patched(records: DataFrame, flips: DataFrame, restored: DataFrame, amended: DataFrame, url: str = "detail_url", seq: str = "seq") -> DataFrame:
-    """The next snapshot in one pass: Active rows in `flips` expire, the last Expired row in `restored` is Active again,
-    fields in `amended` (url, then fields) take their new values; whole repeated rows are kept once, the first."""
-    fields = [c for c in amended.columns if c != url]
+    """The next snapshot in one pass: Active rows in `flips` expire, the last Expired row in `restored` is Active again, and
+    Active rows take the values of `amended` (url, field, to: a row per changed field, null included); all else a row keeps
+    from itself. Whole repeated rows are kept once, the first."""
     f, r = flips.select(url).distinct().withColumn("_f", F.lit(True)), restored.select(url).distinct().withColumn("_r", F.lit(True))
     # The place of each URL's last Expired row, for those that come back.
     last = records.where("status = 'Expired'").join(r, url, "left_semi").groupBy(url).agg(F.max(seq).alias("_last"))
-    a = amended.select(url, *[F.col(x).alias(f"_n_{x}") for x in fields], F.lit(True).alias("_am"))
+    # A URL has a few changed fields at most: one map.
+    a = amended.groupBy(url).agg(F.map_from_entries(F.collect_list(F.struct("field", "to"))).alias("_new"))
     joined = records.join(f, url, "left").join(last, url, "left").join(a, url, "left")
     status = F.when((F.col("status") == "Active") & F.col("_f"), "Expired").when((F.col("status") == "Expired") & (F.col(seq) == F.col("_last")), "Active").otherwise(F.col("status"))
-    live = F.coalesce("_am", F.lit(False)) & (F.col("status") == "Active")
-    out = joined.select(*[status.alias("status") if c == "status" else F.when(live, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in records.columns])
+    kinds = {x.name: x.dataType for x in records.schema.fields}
+    changed = lambda c: (F.col("status") == "Active") & F.coalesce(F.map_contains_key("_new", F.lit(c)), F.lit(False))
+    taken = lambda c: F.when(changed(c), F.element_at("_new", F.lit(c)).cast(kinds[c])).otherwise(F.col(c)).alias(c)
+    out = joined.select(*[status.alias("status") if c == "status" else F.col(c) if c in (url, seq) else taken(c) for c in records.columns])
     rest = [c for c in records.columns if c != seq]
     return out.groupBy(*rest).agg(F.min(seq).alias(seq)).select(*records.columns)
 
 
+def set_sizes(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """op, n: how many keys the union, the intersection and the difference a - b have."""
+    change = F.col("change")
+    sizes = keys_diff(a, b, [key]).agg(F.count("*").alias("union"), F.count_if(change == "kept").alias("intersect"), F.count_if(change == "vanished").alias("except"))
+    return sizes.select(F.explode(F.array(*[F.struct(F.lit(c).alias("op"), F.col(f"`{c}`").alias("n")) for c in ("union", "intersect", "except")])).alias("x")).select("x.*")
+
+
+def union_of(parts: list[DataFrame], key: str) -> DataFrame:
+    """All keys of several tables, each once, in order."""
+    return reduce(DataFrame.unionByName, [p.select(key) for p in parts]).distinct().orderBy(key)
+
+
 def lost(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys that a new release lacks."""
     return old.select(key).distinct().join(new.select(key).distinct(), key, "left_anti")

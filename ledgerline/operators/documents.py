@@ -51,6 +51,11 @@ def summarised(rows: DataFrame, places: DataFrame, summaries: DataFrame, models:
     return best_by_rank(met, ["row_id"], "rank", "seq").select("row_id", "summary", "model", "position")
 
 
+def known_models(prior: DataFrame) -> list[str]:
+    """The models that a build's summaries name: a handful, so they are a list."""
+    return sorted(r.model for r in prior.where("model is not null").select("model").distinct().collect())
+
+
 def carried_forward(prior: DataFrame, current: DataFrame, token: str = "token") -> DataFrame:
     """What the last build said about tokens that rows still carry, for those that the new logs don't describe."""
     keep = prior.join(current.select(token).distinct(), token, "left_semi")
@@ -97,6 +102,6 @@ def source_counts(rows: DataFrame, source: str, dim: list[str]) -> DataFrame:
     codes = spark.createDataFrame(list(enumerate(dim)), "code long, source string")
     counts = rows.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n"))
     total = rows.agg(F.count("*").alias("total"))
-    known = F.broadcast(codes.where("code > 0")).join(counts, "source", "left").select("code", "source", F.coalesce("n", F.lit(0)).alias("n"))
+    known = codes.where("code > 0").join(counts, "source", "left").select("code", "source", F.coalesce("n", F.lit(0)).alias("n"))
     rest = known.agg(F.sum("n").alias("s")).crossJoin(total).select(F.lit(0).cast("long").alias("code"), F.lit(dim[0]).alias("source"), (F.col("total") - F.coalesce("s", F.lit(0))).alias("n"))
     return known.unionByName(rest)

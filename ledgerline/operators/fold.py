@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 
 def latest(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The last row of each key by `seq`: one aggregation with map-side combine, no sort of whole groups."""
@@ -26,18 +28,20 @@ def best_by_rank(df: DataFrame, keys: list[str], rank: str, seq: str) -> DataFra
 
 
 def first_seen_index(df: DataFrame, value: str, seq: str) -> DataFrame:
-    """value and its number from 0 by first appearance. The dictionary is small: one row per distinct value."""
+    """value and its number from 0 by first appearance. Numbered by ranges, so a large dictionary isn't one task's."""
     seen = df.groupBy(value).agg(F.min(seq).alias("first_seq"))
-    return seen.select(value, "first_seq", (F.row_number().over(Window.orderBy("first_seq")) - 1).cast("long").alias("idx"))
+    return numbered(seen, ["first_seq"], "idx").select(value, "first_seq", "idx")
 
 
 def numbered(df: DataFrame, order: list[Column | str], name: str = "row_id") -> DataFrame:
-    """Row numbers from 0 in an order, without sending all rows to one task: ranges are counted, then offset."""
+    """Row numbers from 0 in an order, without sending all rows to one task: ranges are counted, then offset.
+
+    Ranges are chosen by a sample that differs from run to run, so they are written before they are counted.
+    """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Written order within a range is found again by partition number and position.
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
-    ranged = ranged.persist()
+    ranged = written(ranged, "numbered")
     counts = {r["_p"]: r["n"] for r in ranged.groupBy("_p").agg(F.count("*").alias("n")).collect()}
     start, offsets = 0, []
     for p in sorted(counts):
@@ -49,8 +53,14 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "row_id") ->
     return ranged.withColumn(name, (F.col("_i") + F.element_at(table, F.col("_p"))).cast("long")).drop("_p", "_i")
 
 
+def first_of_list(df: DataFrame, key: str, values: str, name: str = "value") -> DataFrame:
+    """key, position, value of a list's distinct elements, each where it stands first. Lists are taken apart, not compared."""
+    each = df.select(key, F.posexplode(values).alias("position", name))
+    return each.groupBy(key, name).agg(F.min("position").alias("position")).select(key, "position", name)
+
+
 def running_violations(df: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
-    """Rows of a newest-first list whose value is above the least one before them in their group."""
+    """Rows of a newest-first list whose value is above the least one before them in their group (a group is sorted in one task)."""
     w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn("floor", F.min(value).over(w)).where(F.col(value) > F.col("floor"))
 

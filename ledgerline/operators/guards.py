@@ -84,6 +84,14 @@ def streaks(nights: DataFrame, entity: str = "entity", night: str = "night", lea
     return run.groupBy(entity).agg(F.count("*").alias("nights"), F.max(night).alias("last"))
 
 
+def judged_and_cleared(report: DataFrame, write, verdict) -> bool:
+    """`verdict` of a report, which is empty afterwards, pass or fail. write: replaces the report's table."""
+    try:
+        return verdict(report)
+    finally:
+        write(report.limit(0))
+
+
 def persistent(found: DataFrame) -> DataFrame:
     return found.where(F.col("nights") >= LEAK_NIGHTS)
 

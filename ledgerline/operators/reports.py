@@ -80,10 +80,20 @@ def age_days(at: Column, now: Column, warn: int) -> dict[str, Column]:
 
 
 def sample_per_group(rows: DataFrame, group: str, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows of each group in the order of a seeded hash: the same ones on every run."""
-    order = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
+    """n rows of each group in the order of a seeded hash: the same ones on every run, and in every engine."""
+    order = _drawn(key, seed)
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(order, key))).where(F.col("_n") <= n).drop("_n")
 
 
 def sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    return rows.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key).limit(n)
+    """n rows of all in the order of a seeded hash."""
+    return rows.orderBy(_drawn(key, seed), key).limit(n)
+
+
+def _drawn(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
+def mix(rows: DataFrame, dims: list[str], amount: str) -> DataFrame:
+    """Totals by all of `dims`, by each front part of them, and over all (null dimensions)."""
+    return rows.rollup(*dims).agg(F.count("*").alias("n"), F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total"))

@@ -46,7 +46,10 @@ def stale_spellings(rows: DataFrame, groups: DataFrame, vendor: str = "vendor")
 
 
 def shards(rows: DataFrame, columns: list[str], vendor: str = "vendor", order: str = "seq") -> DataFrame:
-    """shard, vendor, rows (in order): all rows of each vendor, without removing duplicates."""
-    named = rows.where(F.trim(vendor) != "").withColumn("_v", F.trim(vendor))
-    lists = named.groupBy("_v").agg(F.sort_array(F.collect_list(F.struct(order, *columns))).alias("rows"))
-    return lists.select(shard_letter(F.col("_v")).alias("shard"), F.col("_v").alias("vendor"), F.transform("rows", lambda r: r.dropFields(order)).alias("rows"))
+    """shard, vendor, then `columns`: all rows of each vendor together and in order, without removing duplicates.
+
+    Rows are dealt by ranges of (shard, vendor, order), so a vendor with many rows is several tasks' and never one row.
+    """
+    named = rows.where(F.trim(vendor) != "").withColumn("_v", F.trim(vendor)).withColumn("_s", shard_letter(F.col("_v")))
+    dealt = named.repartitionByRange("_s", "_v", order).sortWithinPartitions("_s", "_v", order)
+    return dealt.select(F.col("_s").alias("shard"), F.col("_v").alias("vendor"), *columns)

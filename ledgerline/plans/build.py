@@ -66,6 +66,11 @@ def publish(rows: DataFrame, store: Store, descriptions: DataFrame | None = None
     return build
 
 
+def row_lists(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """row_id and the row as a JSON list of texts, the form that older readers take."""
+    return rows.select("row_id", F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])).alias("row"))
+
+
 def as_csv(rows: DataFrame, as_of: str) -> DataFrame:
     """Raw columns for a spreadsheet: text cells guarded, the data's date last."""
     return rows.select(*[csv_guard(F.col(c)).alias(c) for c in RECORD.names], F.lit(as_of).alias("data_as_of"))

@@ -17,6 +17,7 @@ from ..functions import search as S
 from ..functions.parsers import described
 from ..operators import dedup, diff, documents, fold, guards, index, reports, vendors
 from ..sources import html
+from ..sources.schemas import RECORD
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,7 +103,8 @@ def _(spark, d):
 
 @query("D07_left_unknown", """SELECT d.doc_id, quality FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def _(spark, d):
-    return t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    log = t(spark, d, "labels").select("doc_id", F.col("quality").alias("n"), F.lit(None).cast("string").alias("documents"))
+    return documents.with_counts(t(spark, d, "documents").select("doc_id"), log, "doc_id").select("doc_id", F.col("n").alias("quality"))
 
 
 KEY_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(upper({0}), '[\s.,#-]*\d[\d\s.-]*$', ' '), '\b(INC|INCORPORATED|LLC|L L C|LLP|LTD|CO|CORP|CORPORATION|COMPANY|COMPANIES|THE|OF|AND|DBA|PC|PLLC|LP)\b', ' ', 'g'), '[^A-Z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"""
@@ -205,9 +207,9 @@ def _(spark, d):
     return in_blocks(fold.numbered(t(spark, d, "orders").select("o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")])).select("o_orderkey", "row_id", "block")
 
 
-@query("D19_coverage_gap", """SELECT n_name AS entity, s AS status FROM nation, (VALUES ('O'), ('F'), ('P')) v(s) EXCEPT SELECT n_name, o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_totalprice > 400000""")
+@query("D19_coverage_gap", """SELECT n_name AS entity, s AS status FROM nation, (VALUES ('O'), ('F'), ('P')) v(s) EXCEPT SELECT n_name, o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_totalprice > 498000""")
 def _(spark, d):
-    big = t(spark, d, "orders").where("o_totalprice > 400000").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    big = t(spark, d, "orders").where("o_totalprice > 498000").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return diff.coverage_gap(t(spark, d, "nation").select(F.col("n_name").alias("entity")), ["O", "F", "P"], big.select(F.col("n_name").alias("entity"), F.col("o_orderstatus").alias("status")))
 
 
@@ -234,9 +236,9 @@ def _(spark, d):
     return reports.shares(t(spark, d, "lineitem"), ["l_linestatus"], "l_returnflag")
 
 
-@query("D24_shard_letter", """SELECT CASE WHEN regexp_matches(upper(left(trim(p_name), 1)), '^[A-Z]$') THEN upper(left(trim(p_name), 1)) ELSE '_' END AS shard, trim(p_name) AS vendor, list(p_partkey ORDER BY p_partkey) AS rows FROM part WHERE trim(p_name) <> '' GROUP BY 1, 2""")
+@query("D24_shard_letter", """SELECT CASE WHEN regexp_matches(upper(left(trim(p_name), 1)), '^[A-Z]$') THEN upper(left(trim(p_name), 1)) ELSE '_' END AS shard, trim(p_name) AS vendor, p_partkey, p_brand FROM part WHERE trim(p_name) <> ''""")
 def _(spark, d):
-    return vendors.shards(t(spark, d, "part").withColumn("key", F.col("p_partkey")), ["key"], "p_name", "p_partkey").select("shard", "vendor", F.transform("rows", lambda r: r["key"]).alias("rows"))
+    return vendors.shards(t(spark, d, "part"), ["p_partkey", "p_brand"], "p_name", "p_partkey")
 
 
 @query("D25_shard_md5", """SELECT doc_id, CAST(('0x' || right(md5(CAST(doc_id AS VARCHAR)), 8))::BIGINT % 4 AS INTEGER) AS shard FROM documents""")
@@ -245,15 +247,20 @@ def _(spark, d):
 
 
 @query("D26_rel_windows", f"""WITH {RECORDS_SQL} SELECT row_id, strptime(CAST(begin_ AS VARCHAR), '%Y%m%d')::DATE BETWEEN DATE '{AS_OF}' - 30 AND DATE '{AS_OF}' AS began30, strptime(CAST(begin_ AS VARCHAR), '%Y%m%d')::DATE BETWEEN DATE '{AS_OF}' - 90 AND DATE '{AS_OF}' AS began90,
-  coalesce(try_strptime(CAST(end_ AS VARCHAR), '%Y%m%d')::DATE BETWEEN DATE '{AS_OF}' AND DATE '{AS_OF}' + 90, false) AS ends90 FROM records""")
+  coalesce(try_strptime(CAST(end_ AS VARCHAR), '%Y%m%d')::DATE BETWEEN DATE '{AS_OF}' AND DATE '{AS_OF}' + 30, false) AS ends30, coalesce(try_strptime(CAST(end_ AS VARCHAR), '%Y%m%d')::DATE BETWEEN DATE '{AS_OF}' AND DATE '{AS_OF}' + 90, false) AS ends90,
+  coalesce(try_strptime(CAST(end_ AS VARCHAR), '%Y%m%d')::DATE BETWEEN DATE '{AS_OF}' AND DATE '{AS_OF}' + 180, false) AS ends180 FROM records""")
 def _(spark, d):
     r, day = records(spark, d), F.lit(AS_OF).cast("date")
-    return r.select("row_id", *[P.in_window(w, F.col("begin"), F.col("end"), day).alias(w) for w in ("began30", "began90", "ends90")])
+    return r.select("row_id", *[P.in_window(w, F.col("begin"), F.col("end"), day).alias(w) for w in ("began30", "began90", "ends30", "ends90", "ends180")])
 
 
-@query("D27_oddities", f"""WITH {RECORDS_SQL} SELECT row_id, amount_value < 0 AS negative, begin_ > 0 AND end_ > 0 AND begin_ > end_ AS reversed, false AS odd_year, end_ IN (20991231, 20990101, 99991231) AS open_ended FROM records""")
+@query("D27_oddities", f"""WITH {RECORDS_SQL}, o AS (SELECT row_id, amount_value - 100000 AS a, CASE WHEN row_id % 50 = 0 THEN 18500101 ELSE begin_ END AS b, CASE row_id % 40 WHEN 0 THEN 20991231 WHEN 1 THEN 99991231 WHEN 2 THEN 22230101 WHEN 3 THEN 0 WHEN 4 THEN 19950101 ELSE end_ END AS e FROM records)
+SELECT row_id, a < 0 AS negative, b > 0 AND e > 0 AND b > e AS reversed, (b > 0 AND (b // 10000 < 1900 OR b // 10000 > 2100)) OR (e > 0 AND (e // 10000 < 1900 OR e // 10000 > 2100) AND e NOT IN (20991231, 20990101, 99991231)) AS odd_year, e IN (20991231, 20990101, 99991231) AS open_ended FROM o""")
 def _(spark, d):
-    return records(spark, d).select("row_id", *[v.alias(k) for k, v in P.oddities(F.col("amount_value"), F.col("begin"), F.col("end")).items()])
+    r, k = records(spark, d), F.col("row_id")
+    begin = F.when(k % 50 == 0, 18500101).otherwise(F.col("begin"))
+    end = F.when(k % 40 == 0, 20991231).when(k % 40 == 1, 99991231).when(k % 40 == 2, 22230101).when(k % 40 == 3, 0).when(k % 40 == 4, 19950101).otherwise(F.col("end"))
+    return r.select("row_id", *[v.alias(x) for x, v in P.oddities(F.col("amount_value") - 100000, begin, end).items()])
 
 
 @query("P09_bounds", f"""WITH {RECORDS_SQL} SELECT row_id FROM records WHERE (begin_ = 0 OR begin_ BETWEEN 19950101 AND 19961231) AND amount_value >= 150000""")
@@ -262,15 +269,17 @@ def _(spark, d):
     return r.where(P.in_years(F.col("begin"), 1995, 1996) & P.in_amounts(F.col("amount_value"), N.bound(F.lit("$150,000")), N.bound(F.lit("many")))).select("row_id")
 
 
-@query("D28_topk_amount", """SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
+@query("D28_topk_amount", f"""WITH {RECORDS_SQL} SELECT row_id, amount_value FROM records ORDER BY amount_value DESC, row_id LIMIT 100""")
 def _(spark, d):
-    return t(spark, d, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    from .search import Query, search
+
+    return search(records(spark, d), Query(), AS_OF).limit(100).select("row_id", "amount_value")
 
 
 @query("D29_rollup_mix", """SELECT r_name, n_name, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 def _(spark, d):
-    j = t(spark, d, "customer").join(F.broadcast(t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))), F.col("c_nationkey") == F.col("n_nationkey"))
-    return j.rollup("r_name", "n_name").agg(F.count("*").alias("n"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("total"))
+    j = t(spark, d, "customer").join(t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")), F.col("c_nationkey") == F.col("n_nationkey"))
+    return reports.mix(j, ["r_name", "n_name"], "c_acctbal")
 
 
 @query("D30_text_verdict", """SELECT doc_id, CASE WHEN n_chars / greatest(CAST(doc_id % 60 AS INTEGER), 1) < 50 THEN 'scanned' ELSE 'text' END AS verdict FROM documents""")
@@ -286,21 +295,10 @@ def _(spark, d):
     return described(t(spark, d, "documents").select("doc_id", "text"), "text", chain).select("doc_id", "source", "description")
 
 
-@query("F14_describe")
+@query("D32_html_links", r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '(?is)<a[^>]*\bhref=["''][^"'']*/([^"''&]+)[^"'']*["''][^>]*>(.*?)</a>', 1) AS links FROM pages) SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS position, links[i] AS token FROM (SELECT page_id, links, unnest(range(1, len(links) + 1)) AS i FROM l) WHERE list_position(links, links[i]) = i""")
 def _(spark, d):
-    return described(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", "source", "description", F.size("items").alias("n_items"))
-
-
-@query("D32_html_links", r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '(?is)<a[^>]*\bhref=["''][^"'']*/([^"''&]+)[^"'']*["''][^>]*>', 1) AS links FROM pages) SELECT page_id, CAST(i - 1 AS INTEGER) AS position, links[i] AS token FROM (SELECT page_id, links, unnest(range(1, len(links) + 1)) AS i FROM l) WHERE list_position(links, links[i]) = i""")
-def _(spark, d):
-    found = F.regexp_extract_all("html", F.lit(r"(?is)<a[^>]*\bhref=[\"'][^\"']*/([^\"'&]+)[^\"']*[\"'][^>]*>"), F.lit(1))
-    pages = t(spark, d, "pages").select("page_id", found.alias("links"))
-    return pages.select("page_id", F.posexplode("links").alias("position", "token"), "links").where(F.array_position("links", F.col("token")) == F.col("position") + 1).select("page_id", "position", "token")
-
-
-@query("S14_html_documents")
-def _(spark, d):
-    return html.file_links(t(spark, d, "pages").select("page_id", "html"), pattern="/([^\"'&]+)")
+    links = html.file_links(t(spark, d, "pages").select("page_id", "html"), pattern="/([^\"'&]+)")
+    return links.select("page_id", "position", "token")
 
 
 @query("D33_url_params", r"""SELECT page_id, coalesce(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, coalesce(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') AS ref FROM pages""")
@@ -308,44 +306,41 @@ def _(spark, d):
     return t(spark, d, "pages").select("page_id", N.query_param(F.col("url"), "page").alias("page"), N.query_param(F.col("url"), "ref").alias("ref"))
 
 
-@query("D34_late_catchup", """WITH m AS (SELECT max(CAST(ts AS DATE)) AS as_of FROM events) SELECT event_id FROM events e, m WHERE CAST(ts AS DATE) >= as_of - 35 AND NOT EXISTS (SELECT 1 FROM events h WHERE h.user_id = e.user_id AND h.event_type = 'purchase')""")
+@query("D34_late_catchup", """WITH m AS (SELECT max(CAST(ts AS DATE)) AS as_of FROM events) SELECT event_id FROM events e, m WHERE CAST(ts AS DATE) >= as_of - 35 AND NOT EXISTS (SELECT 1 FROM events h WHERE h.user_id = e.user_id AND h.event_type = 'purchase' AND h.value > 60)""")
 def _(spark, d):
     e = t(spark, d, "events").withColumn("day", F.to_date("ts"))
     as_of = e.agg(F.max("day")).first()[0]
-    return guards.late(e, e.where("event_type = 'purchase'"), "user_id", "day", F.lit(as_of)).select("event_id")
+    return guards.late(e, e.where("event_type = 'purchase' and value > 60"), "user_id", "day", F.lit(as_of)).select("event_id")
 
 
 @query("D35_set_ops", """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'O'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F')
 SELECT 'union' AS op, count(*) AS n FROM (SELECT k FROM a UNION SELECT k FROM b) UNION ALL SELECT 'intersect', count(*) FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'except', count(*) FROM (SELECT k FROM a EXCEPT SELECT k FROM b)""")
 def _(spark, d):
     o = t(spark, d, "orders")
-    a, b = (o.where(F.col("o_orderstatus") == s).select("o_custkey").distinct() for s in "OF")
-    count = lambda name, x: x.agg(F.count("*").alias("n")).select(F.lit(name).alias("op"), "n")
-    return count("union", a.union(b).distinct()).union(count("intersect", a.intersect(b))).union(count("except", a.exceptAll(b)))
+    return diff.set_sizes(o.where("o_orderstatus = 'O'"), o.where("o_orderstatus = 'F'"), "o_custkey")
 
 
-@query("D36_vendor_match")
+@query("D36_vendor_match", """WITH n AS (SELECT DISTINCT p_name, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM part) SELECT p_name, (a LIKE 'widge%' AND b LIKE 'sma%') OR (b LIKE 'widge%' AND a LIKE 'sma%') AS swapped, contains(p_name, 'l wid') AS inside, a || b LIKE 'hotrin%' AS together FROM n""")
 def _(spark, d):
-    names = t(spark, d, "part").select("p_name").distinct()
-    return names.where(S.vendor_matches(F.col("p_name"), "part 1"))
+    names, name = t(spark, d, "part").select("p_name").distinct(), F.col("p_name")
+    return names.select("p_name", S.vendor_matches(name, "widge sma").alias("swapped"), S.vendor_matches(name, "l wid").alias("inside"), S.vendor_matches(name, "ho-t rin").alias("together"))
 
 
-@query("F23_agency_match", """SELECT n_name FROM nation WHERE contains(lower(n_name), 'united') OR n_name IN ('FRANCE')""")
+@query("F23_agency_match", """SELECT n_name FROM nation WHERE (contains(replace(lower(n_name), '_', ' '), 'tion') AND contains(replace(lower(n_name), '_', ' '), '1')) OR n_name IN ('NATION_7')""")
 def _(spark, d):
     n = t(spark, d, "nation").select("n_name")
-    return n.where(S.agency_matches(F.col("n_name"), "united", {"united": ["FRANCE"]}))
+    return n.where(S.agency_matches(F.col("n_name"), " Tion & 1".replace("&", ""), {"tion 1": ["NATION_7"]}))
 
 
 @query("D37_dup_lines", """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents) SELECT doc_id, CAST(i - 1 AS INTEGER) AS position, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l) WHERE list_position(ls, ls[i]) = i""")
 def _(spark, d):
     rows = t(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("ls"))
-    lines = rows.select("doc_id", F.posexplode("ls").alias("position", "line"))
-    return lines.groupBy("doc_id", "line").agg(F.min("position").alias("position")).select("doc_id", "position", "line")
+    return fold.first_of_list(rows, "doc_id", "ls", "line")
 
 
 @query("D38_json_field", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def _(spark, d):
-    return t(spark, d, "events").select("event_id", F.from_json("props", "k long").getField("k").alias("k"))
+    return t(spark, d, "events").select("event_id", N.json_field(F.col("props"), "k long", "k").alias("k"))
 
 
 @query("D39_conv_last_turn", """SELECT conv_id, role, turn, text FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC, text DESC) AS k FROM conversations) WHERE k = 1""")
@@ -373,30 +368,23 @@ def _(spark, d):
     return vendors.spend(vendors.grouped(rows, groups), "vendor_group").withColumnRenamed("vendor", "vendor_group")
 
 
-@query("A05_dropped", """WITH r AS (SELECT o_orderkey AS seq, o_custkey AS detail_url, o_orderpriority AS p, CASE WHEN o_orderstatus = 'F' THEN 'Expired' ELSE 'Active' END AS status, o_totalprice AS a FROM orders),
-one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY detail_url, p, status ORDER BY seq) AS k FROM r) WHERE k = 1),
-two AS (SELECT * FROM one x WHERE status <> 'Expired' OR NOT EXISTS (SELECT 1 FROM one y WHERE y.status = 'Active' AND y.detail_url = x.detail_url AND y.p = x.p)),
-three AS (SELECT * FROM two x WHERE status <> 'Expired' OR NOT EXISTS (SELECT 1 FROM two y WHERE y.status = 'Active' AND y.detail_url = x.detail_url)),
-n AS (SELECT (SELECT count(*) FROM r) AS n0, (SELECT count(*) FROM one) AS n1, (SELECT count(*) FROM two) AS n2, (SELECT count(*) FROM three) AS n3)
-SELECT 'exact' AS reason, n0 - n1 AS rows FROM n UNION ALL SELECT 'twin', n1 - n2 FROM n UNION ALL SELECT 'stale', n2 - n3 FROM n""")
+@query("A05_dropped", """WITH r AS (SELECT o_orderkey AS seq, o_custkey AS u, o_orderpriority AS p, CASE WHEN o_orderstatus = 'F' THEN 'Expired' ELSE 'Active' END AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS a FROM orders),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY u, p, status ORDER BY seq) AS k FROM r) WHERE k = 1),
+two AS (SELECT * FROM one x WHERE status <> 'Expired' OR NOT EXISTS (SELECT 1 FROM one y WHERE y.status = 'Active' AND y.u = x.u AND y.p = x.p)),
+three AS (SELECT * FROM two x WHERE status <> 'Expired' OR NOT EXISTS (SELECT 1 FROM two y WHERE y.status = 'Active' AND y.u = x.u)),
+n AS (SELECT 'r' AS t, count(*) AS n, CAST(sum(a) AS DOUBLE) AS s FROM r UNION ALL SELECT 'one', count(*), CAST(sum(a) AS DOUBLE) FROM one UNION ALL SELECT 'two', count(*), CAST(sum(a) AS DOUBLE) FROM two UNION ALL SELECT 'three', count(*), CAST(sum(a) AS DOUBLE) FROM three)
+SELECT reason, CAST(x.n - y.n AS BIGINT) AS rows, round(x.s - y.s, 2) AS dollars FROM (VALUES ('exact', 'r', 'one'), ('twin', 'one', 'two'), ('stale', 'two', 'three')) v(reason, a, b) JOIN n x ON x.t = a JOIN n y ON y.t = b""")
 def _(spark, d):
-    status = F.when(F.col("o_orderstatus") == "F", "Expired").otherwise("Active")
-    r = t(spark, d, "orders").select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").cast("string").alias("detail_url"), F.col("o_orderpriority").alias("p"), status.alias("status"), F.col("o_totalprice").alias("amount_value"))
-    one = dedup.exact(r, "seq", ["detail_url", "p", "status"])
-    two = dedup.without_twins(one, ["detail_url", "p"])
-    three = dedup.without_stale(two)
-    n = lambda df, k: df.agg(F.count("*").alias("n")).select(F.lit(k).alias("k"), "n")
-    counts = n(r, 0).union(n(one, 1)).union(n(two, 2)).union(n(three, 3))
-    wide = counts.groupBy().pivot("k", [0, 1, 2, 3]).agg(F.first("n"))
-    return wide.select(F.explode(F.array(*[F.struct(F.lit(x).alias("reason"), (F.col(str(k)) - F.col(str(k + 1))).alias("rows")) for k, x in enumerate(("exact", "twin", "stale"))])).alias("x")).select("x.*")
+    blank = {c: F.lit("") for c in RECORD.names}
+    own = {"doc_number": F.lit("A"), "entity_name": F.col("o_orderpriority"), "detail_url": F.col("o_custkey").cast("string"), "status": F.when(F.col("o_orderstatus") == "F", "Expired").otherwise("Active")}
+    rows = t(spark, d, "orders").select(*[(blank | own)[c].alias(c) for c in RECORD.names], F.col("o_orderkey").alias("seq"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount_value"))
+    return dedup.dropped(rows).select("reason", F.col("rows").cast("long").alias("rows"), F.round(F.col("dollars").cast("double"), 2).alias("dollars"))
 
 
-@query("A09_coverage", """SELECT lang AS dataset, count(*) AS total, count(quality) AS checked, count(*) FILTER (quality > 0) AS multi, coalesce(CAST(sum(quality) AS BIGINT), 0) AS documents FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
+@query("A09_coverage", """SELECT lang AS dataset, count(*) AS total, count(quality) AS checked, count(*) FILTER (quality * 2 > 1) AS multi, coalesce(CAST(sum(quality * 2) AS BIGINT), 0) AS documents FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
 def _(spark, d):
     rows = t(spark, d, "documents").select(F.col("doc_id").alias("k"), F.col("lang").alias("dataset"))
-    out = documents.coverage(rows, t(spark, d, "labels").select(F.col("doc_id").alias("k"), (F.col("quality") + F.lit(0)).alias("n")))
-    multi = rows.join(t(spark, d, "labels").where("quality > 0").select(F.col("doc_id").alias("k")), "k").groupBy("dataset").agg(F.count("*").alias("m"))
-    return out.join(multi, "dataset", "left").select("dataset", "total", "checked", F.coalesce("m", F.lit(0)).alias("multi"), "documents")
+    return documents.coverage(rows, t(spark, d, "labels").select(F.col("doc_id").alias("k"), (F.col("quality") * 2).alias("n")))
 
 
 @query("A10_scan_totals", """SELECT count(*) AS records, count(DISTINCT conv_id) AS tokens, count(DISTINCT conv_id) FILTER (trim(text) <> '') AS tokens_with_text FROM conversations""")
@@ -438,11 +426,16 @@ def _(spark, d):
     return dedup.ambiguous(e, ["user_id"], "view_url")
 
 
-@query("A19_checksum")
+def _checksum_sql(column: str) -> str:
+    h = f"md5(coalesce('=' || CAST({column} AS VARCHAR), 'null'))"
+    return f"""SELECT '{column}' AS "column", count(*) AS rows, CAST(sum(('0x' || left({h}, 15))::BIGINT) AS VARCHAR) AS sum, bit_xor(('0x' || substring({h}, 17, 15))::BIGINT) AS xor FROM orders"""
+
+
+@query("A19_checksum", " UNION ALL ".join(map(_checksum_sql, ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])))
 def _(spark, d):
     from ..sources.snapshots import checksum
 
-    return checksum(t(spark, d, "orders"))
+    return checksum(t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
 
 
 @query("A20_median_latency", """SELECT median(value) AS median FROM events WHERE ts > TIMESTAMP '2024-01-15'""")
@@ -450,18 +443,20 @@ def _(spark, d):
     return reports.median_since(t(spark, d, "events"), "value", "ts", F.lit("2024-01-15").cast("timestamp_ntz"))
 
 
-@query("J08_described", """WITH p AS (SELECT page_id AS row_id, page_id % 50 AS tok, page_id % 3 AS position FROM pages), s AS (SELECT doc_id AS seq, doc_id % 50 AS tok, left(text, 20) AS description FROM documents)
+@query("J08_described", """WITH p AS (SELECT page_id AS row_id, page_id % 50 AS tok, page_id % 3 AS position FROM pages), s AS (SELECT doc_id AS seq, doc_id % 50 AS tok, text AS description FROM documents)
 SELECT row_id, description FROM (SELECT row_id, description, row_number() OVER (PARTITION BY row_id ORDER BY CASE WHEN position = 0 THEN 0 ELSE 1 + position END, seq DESC) AS k FROM p JOIN s USING (tok)) WHERE k = 1""")
 def _(spark, d):
     places = t(spark, d, "pages").select((F.col("page_id") % 50).alias("token"), F.col("page_id").alias("row_id"), (F.col("page_id") % 3).cast("int").alias("position")).withColumn("is_primary", F.col("position") == 0)
     # Of a token's lines only the last can win, so the log is folded before it is joined: no token is multiplied.
-    scope = fold.latest(t(spark, d, "documents").select((F.col("doc_id") % 50).alias("tok"), F.col("doc_id").alias("seq"), F.left("text", F.lit(20)).alias("description"), F.lit("line_items").alias("source")), ["tok"], "seq")
+    scope = fold.latest(t(spark, d, "documents").select((F.col("doc_id") % 50).alias("tok"), F.col("doc_id").alias("seq"), F.col("text").alias("description"), F.lit("line_items").alias("source")), ["tok"], "seq")
     return documents.described(places, scope).select("row_id", "description")
 
 
-@query("J11_carry_forward", """SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""")
+@query("J11_ST17_carry_forward", """SELECT doc_id, lang FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id, 'carried' FROM documents WHERE lang <> 'en' AND doc_id IN (SELECT doc_id FROM labels)""")
 def _(spark, d):
-    return documents.carried_forward(t(spark, d, "documents").select("doc_id", "lang"), t(spark, d, "labels"), "doc_id")
+    docs = t(spark, d, "documents").select("doc_id", "lang")
+    prior = documents.carried_forward(docs.withColumn("lang", F.lit("carried")), t(spark, d, "labels"), "doc_id")
+    return documents.with_floor(docs.where("lang = 'en'"), prior, ["doc_id"])
 
 
 @query("J17_to_do", """SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")
@@ -481,25 +476,33 @@ def _(spark, d):
     return diff.expired_only(rows, "url")
 
 
-@query("P19_sample_per_source")
+@query("P19_O4_sample_per_source", """SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id), doc_id) AS k FROM documents) WHERE k <= 5""")
 def _(spark, d):
     return reports.sample_per_group(t(spark, d, "documents").select("source", "doc_id"), "source", "doc_id", 5)
 
 
-@query("P07_quarantine", """SELECT n_nationkey, n_name, CASE WHEN n_regionkey > 3 THEN 'far' WHEN n_name LIKE 'A%' THEN 'early' END AS reason FROM nation WHERE n_regionkey > 3 OR n_name LIKE 'A%'""")
+@query("P07_E4_quarantine", f"""WITH {RECORDS_SQL}, r AS (SELECT row_id, entity_name, CASE WHEN row_id % 13 = 0 THEN '' ELSE 'u' || row_id END AS u, CASE WHEN row_id % 17 = 0 THEN 'a' || row_id WHEN row_id % 19 = 0 THEN '' WHEN row_id % 23 = 0 THEN repeat('Ä', 128) ELSE 'A' || row_id END AS n FROM records)
+SELECT * FROM (SELECT row_id, CASE WHEN entity_name = 'NATION_3' THEN 'unknown entity' WHEN u = '' THEN 'no detail URL' WHEN n = '' THEN 'no document number' WHEN octet_length(encode(n)) > 255 THEN 'long document number' WHEN n <> upper(n) THEN 'lower-case document number' END AS reason FROM r) WHERE reason IS NOT NULL""")
 def _(spark, d):
-    return guards.quarantined(t(spark, d, "nation"), {"far": F.col("n_regionkey") > 3, "early": F.col("n_name").startswith("A")}).select("n_nationkey", "n_name", "reason")
+    k = F.col("row_id")
+    number = F.when(k % 17 == 0, F.concat(F.lit("a"), k.cast("string"))).when(k % 19 == 0, "").when(k % 23 == 0, "Ä" * 128).otherwise(F.concat(F.lit("A"), k.cast("string")))
+    rows = records(spark, d).withColumn("doc_number", number).withColumn("detail_url", F.when(k % 13 == 0, "").otherwise(F.concat(F.lit("u"), k.cast("string"))))
+    known = [r.n_name for r in t(spark, d, "nation").where("n_name <> 'NATION_3'").collect()]
+    return guards.quarantined(rows, guards.record_rules(known)).select("row_id", "reason")
 
 
-@query("F28_verbatim", """SELECT doc_id, true AS verbatim FROM documents""")
+@query("F28_verbatim", """WITH n AS (SELECT a.doc_id, a.text, list_filter(regexp_split_to_array(b.text, '[ \t\n\r\f]+'), lambda x: x <> '')[1:3] AS words FROM documents a JOIN documents b ON b.doc_id = a.doc_id // 2)
+SELECT doc_id, regexp_matches(text, '(?s)' || array_to_string(list_transform(words, lambda x: regexp_escape(x)), '.*')) AS verbatim FROM n""")
 def _(spark, d):
-    rows = t(spark, d, "documents")
-    return rows.select("doc_id", S.is_verbatim(F.array_join(F.slice(F.split("text", r"\s+"), 1, 9), " "), F.col("text")).alias("verbatim"))
+    docs = t(spark, d, "documents")
+    other = docs.select(F.col("doc_id").alias("b"), F.array_join(F.slice(F.filter(F.split("text", "[ \t\n\r\f]+"), lambda w: w != ""), 1, 3), " ").alias("words"))
+    rows = docs.withColumn("b", F.floor(F.col("doc_id") / 2)).join(other, "b")
+    return rows.select("doc_id", S.is_verbatim(F.col("words"), F.col("text")).alias("verbatim"))
 
 
-@query("K10_csv_guard", """SELECT page_id, CASE WHEN regexp_matches(left(html, 1), '^[=+\\-@\\t\\r]') THEN '''' || left(html, 40) ELSE left(html, 40) END AS cell FROM pages""")
+@query("K10_csv_guard", """SELECT page_id, CASE WHEN regexp_matches(left(html, 1), '^[=+\\-@\\t\\r]') THEN '''' || html ELSE html END AS cell, CASE WHEN page_id % 3 = 0 THEN '''-' || url ELSE url END AS formula FROM pages""")
 def _(spark, d):
-    return t(spark, d, "pages").select("page_id", N.csv_guard(F.left("html", F.lit(40))).alias("cell"))
+    return t(spark, d, "pages").select("page_id", N.csv_guard(F.col("html")).alias("cell"), N.csv_guard(F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("-"), "url")).otherwise(F.col("url"))).alias("formula"))
 
 
 @query("ST14_suspicious", """WITH r AS (SELECT event_type AS dataset, user_id AS entity, count(*) AS previously_active, count(*) FILTER (value > 40) AS flipped FROM events GROUP BY 1, 2) SELECT * FROM r WHERE previously_active >= 5 AND flipped * 2 > previously_active""")
@@ -514,5 +517,5 @@ SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' AND o_custkey % 7 = 0 THEN 'Ex
 def _(spark, d):
     rows = t(spark, d, "orders").select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("detail_url"), F.when(F.col("o_orderstatus") == "F", "Expired").otherwise("Active").alias("status"), "o_orderpriority", "o_orderkey")
     urls = rows.select("detail_url").distinct()
-    amended = urls.where("detail_url % 7 = 2").withColumn("o_orderpriority", F.lit("AMENDED"))
+    amended = urls.where("detail_url % 7 = 2").select("detail_url", F.lit("o_orderpriority").alias("field"), F.lit("AMENDED").alias("to"))
     return diff.patched(rows, urls.where("detail_url % 7 = 0"), urls.where("detail_url % 7 = 1"), amended).select("o_orderkey", "status", "o_orderpriority")

@@ -30,15 +30,16 @@ class Night:
     report: DataFrame
 
 
-def judged(records: DataFrame, seen: DataFrame, ledger: DataFrame) -> Night:
-    """records: the current snapshot. seen: tonight's rows of all entities read, with dataset and entity_name.
+def judged(records: DataFrame, seen: DataFrame, ledger: DataFrame, read: DataFrame | None = None) -> Night:
+    """records: the current snapshot. seen: tonight's rows of all entities read, with dataset and entity_name. read: the
+    (dataset, entity_name) pairs that were read, also those that listed nothing; without it, those that listed something.
 
     Order of judgement: leaks first, then refusals, then the dataset's breaker. A refused entity keeps its new rows but no
     flips; a leak holds back new rows and restorations; a breaker clears flips, restorations and changes, not new rows.
     """
     key = ["dataset", "entity_name", "detail_url"]
     active = records.where("status = 'Active'")
-    read = seen.select("dataset", "entity_name").distinct()
+    read = (seen if read is None else read).select("dataset", "entity_name").distinct()
     known = active.join(read, ["dataset", "entity_name"], "left_semi")
     moved = diff.keys_diff(known, seen, key)
     gone = diff.expired_only(records).withColumn("_old", F.lit(True))
@@ -68,8 +69,5 @@ def judged(records: DataFrame, seen: DataFrame, ledger: DataFrame) -> Night:
 
 def next_snapshot(records: DataFrame, night: Night) -> DataFrame:
     """The records after the night: flips, restorations and amendments in one rewrite, then the new rows."""
-    amended = night.changes.groupBy("detail_url").pivot("field", WATCHED).agg(F.first("to"))
-    base = records.select("detail_url", *WATCHED).dropDuplicates(["detail_url"])
-    filled = amended.join(base.select("detail_url", *[F.col(c).alias(f"_{c}") for c in WATCHED]), "detail_url").select("detail_url", *[F.coalesce(c, f"_{c}").alias(c) for c in WATCHED])
-    patched = diff.patched(records, night.flips, night.restored, filled)
+    patched = diff.patched(records, night.flips, night.restored, night.changes.select("detail_url", "field", "to").distinct())
     return patched.unionByName(night.new_rows.withColumn("status", F.lit("Active")).select(*[c for c in records.columns]))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..functions.normalize import bound
 from ..functions.search import lookup, vendor_matches
+from ..operators.fold import numbered
 
 SORTS = ["amount_value", "begin", "end", "vendor", "entity_name", "doc_number"]
 
@@ -46,6 +47,12 @@ class Query:
         return q
 
 
+def prioritised(rows: DataFrame, name: str, first: list[str]) -> DataFrame:
+    """`rows` with `place`: names of `first` in their order, then all others by name."""
+    at = F.array_position(F.array(*map(F.lit, first)), F.col(name))
+    return numbered(rows.withColumn("_at", F.when(at > 0, at).otherwise(len(first) + 1)), ["_at", name], "place").drop("_at")
+
+
 def search(rows: DataFrame, query: Query, as_of: str, index: DataFrame | None = None) -> DataFrame:
     """Matching rows in order, ties by row_id. Vendors are matched over distinct names, words through the index."""
     c = F.col

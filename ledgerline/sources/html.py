@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .schemas import RECORD
+
 #: Ids of result tables and the order of a row's cells.
 GRID_IDS = ["entitygrid", "agencygrid"]
 GRID_CELLS = ["doc_number", "doc_type", "entity_code", "entity_name", "vendor", "amount", "begin_date", "end_date"]
@@ -34,6 +36,16 @@ def grid(pages: DataFrame, html: str = "html") -> DataFrame:
     return cells.select(*[c for c in pages.columns if c != html], *named, link.alias("detail_url"), "last_page")
 
 
+def record_rows(cells: DataFrame, entities: DataFrame, status: str) -> DataFrame:
+    """Rows of the record files from grid cells: the entity's own spelling (grids shout), the status, no view URL yet.
+
+    entities: entity_name. A row of an entity that isn't known is left out.
+    """
+    names = entities.select(F.col("entity_name").alias("_own"), F.upper("entity_name").alias("_key"))
+    joined = cells.withColumn("_key", F.upper("entity_name")).join(names, "_key")
+    return joined.select(*[F.col("_own").alias(c) if c == "entity_name" else F.lit(status).alias(c) if c == "status" else F.lit("").alias(c) if c == "view_url" else F.col(c) for c in RECORD.names])
+
+
 def file_links(pages: DataFrame, html: str = "html", pattern: str = r"ViewDocument\?D=([^\"'&]+)") -> DataFrame:
     """page columns, position, name, token: links to files, the first of each token, in page order."""
     link = rf"(?is)<a[^>]*\bhref=[\"'][^\"']*{pattern}[^\"']*[\"'][^>]*>(.*?)</a>"

@@ -32,9 +32,9 @@ def whole_records(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         if (quotes or 0) % 2:
             raise ValueError(f"{path}: a quote is open at the end")
         df = records(spark, {dataset: path})
-        if not ends_with_newline(spark, path):
+        if cut := unended_files(spark, path):
             last = df.groupBy(F.col("seq.file").alias("file")).agg(F.max("seq").alias("last"))
-            df = df.join(last, F.col("seq.file") == F.col("file")).where("seq <> last").drop("file", "last")
+            df = df.join(last, F.col("seq.file") == F.col("file")).where((F.col("seq") != F.col("last")) | ~_named("file", cut)).drop("file", "last")
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -65,21 +65,27 @@ def jsonl(spark: SparkSession, path: str, schema: str, strict_tail: bool = False
     parsed = rows.select("seq", "value", F.try_parse_json("value").isNull().alias("bad"))
     # One narrow aggregation finds each file's last line: a row per file.
     last = rows.groupBy(F.col("seq.file").alias("file")).agg(F.max("seq").alias("last"))
-    unended = strict_tail and not ends_with_newline(spark, path)
+    unended = _named("file", unended_files(spark, path) if strict_tail else [])
     joined = parsed.join(last, F.col("seq.file") == F.col("file"))
-    whole = joined.where(~((F.col("seq") == F.col("last")) & (F.col("bad") | F.lit(unended))))
+    whole = joined.where(~((F.col("seq") == F.col("last")) & (F.col("bad") | unended)))
     # The last line is named here again, so that no filter on the fields can move this check in front of the join.
     checked = F.when(~F.col("bad"), F.col("value")).when(F.col("seq") == F.col("last"), None).otherwise(F.raise_error(F.concat(F.lit("a line before the last one doesn't parse: "), F.left("value", F.lit(200)))))
     return whole.select("seq", F.from_json(checked, names).alias("v")).select(*[f"v.{n}" for n in names.names], "seq")
 
 
-def ends_with_newline(spark: SparkSession, path: str) -> bool:
-    """Whether the last byte of each file is a line feed (an empty file counts as whole)."""
+def _named(file: str, names: list[str]) -> Column:
+    """Whether a file's path ends in one of these folder/file names."""
+    return F.substring_index(file, "/", -2).isin(names) if names else F.lit(False)
+
+
+def unended_files(spark: SparkSession, path: str) -> list[str]:
+    """folder/file of each file whose last byte isn't a line feed (an empty file counts as whole)."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop
     target = hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = [s for s in (fs.globStatus(target) or [])]
     files = [f for s in found for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s]) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    out = []
     for f in files:
         if f.getLen():
             stream = fs.open(f.getPath())
@@ -87,8 +93,8 @@ def ends_with_newline(spark: SparkSession, path: str) -> bool:
             last = stream.read()
             stream.close()
             if last != 10:
-                return False
-    return True
+                out.append(f"{f.getPath().getParent().getName()}/{f.getPath().getName()}")
+    return out
 
 
 def folded(spark: SparkSession, path: str, schema: str, key: str, strict_tail: bool = False) -> DataFrame:
@@ -120,6 +126,11 @@ def newest_tag(releases: DataFrame, wanted: str) -> DataFrame:
     return fits.agg(F.coalesce(F.max(F.when(F.col("tag") == wanted, F.struct("tag"))), F.max(F.struct("tag"))).alias("r")).select("r.tag").where("tag is not null")
 
 
+def asset(releases: DataFrame, assets: DataFrame, wanted: str, name: str) -> DataFrame:
+    """tag, name, size of a file of the wanted release. assets: tag, name, size."""
+    return assets.where(F.col("name") == name).join(newest_tag(releases, wanted), "tag").select("tag", "name", "size")
+
+
 def state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A small JSON state table; empty if there is none. A file that can't be read is set aside as .corrupt."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop
@@ -127,10 +138,11 @@ def state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(target):
         return spark.createDataFrame([], schema)
-    text = "".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+    text = "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
     try:
-        for line in text.splitlines():
-            json.loads(line)
+        for line in text.split("\n"):
+            if line.strip():
+                json.loads(line)
     except ValueError:
         fs.rename(target, hadoop.fs.Path(path.rstrip("/") + ".corrupt"))
         return spark.createDataFrame([], schema)

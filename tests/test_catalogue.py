@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from ledgerline.plans.catalogue import QUERIES, SQL
+from ledgerline.plans.queries import QUERIES, SQL
 
 
 def plain(v):

@@ -148,8 +148,8 @@ def test_parser_chain(spark):
 
 
 def test_state_rows_take_their_tails():
-    text = "x Line Description 1 MILK, CHOCOLATE 2.0000 CS 3.0000 6.00 1/2 PINT 2 BREAD 1.0000 EA 2.0000 2.00 STATE OF NEBRASKA foo Total Order 8.00"
-    assert parsers.item_rows(text) == ["MILK, CHOCOLATE 1/2 PINT", "BREAD"]
+    text = "x Line Description 1 PAINT, OUTDOOR 2.0000 CS 3.0000 6.00 DARK GREEN 2 BRUSHES 1.0000 EA 2.0000 2.00 STATE OF NEBRASKA foo Total Order 8.00"
+    assert parsers.item_rows(text) == ["PAINT, OUTDOOR DARK GREEN", "BRUSHES"]
 
 
 def test_registered_parser_comes_at_its_rank(spark):

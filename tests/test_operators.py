@@ -108,9 +108,10 @@ def test_differences(spark):
 def test_patched_snapshot(spark):
     rows = frame(spark, [record(1), record(2, detail_url="u2", status="Expired"), record(3, detail_url="u2", status="Expired", amount="$3.00"), record(4, detail_url="u3"), record(5, detail_url="u3")])
     urls = lambda *u: spark.createDataFrame([(x,) for x in u], "detail_url string")
-    amended = spark.createDataFrame([("u3", "$9.00")], "detail_url string, amount string")
+    amended = spark.createDataFrame([("u3", "amount", "$9.00"), ("u3", "vendor", None)], "detail_url string, field string, to string")
     got = rows_of(diff.patched(rows, urls("u1"), urls("u2"), amended), "seq", "status", "amount")
     assert got == [(1, "Expired", "$1.00"), (2, "Expired", "$1.00"), (3, "Active", "$3.00"), (4, "Active", "$9.00")]
+    assert diff.patched(rows, urls("u1"), urls("u2"), amended).where("vendor is null").select("detail_url").distinct().collect()[0][0] == "u3"
 
 
 @pytest.mark.parametrize(("known", "vanished", "seen", "want"), [(5, 5, 0, "nothing seen"), (4, 4, 0, None), (20, 11, 9, "more than half vanished"), (20, 10, 10, None), (19, 18, 1, None)])

@@ -161,6 +161,14 @@ def test_night(spark):
     assert ("u5", "Expired", "$1.00") in after and ("old", "Active", "$1.00") in after and ("u1", "Active", "$2.00") in after and ("new", "Active", "$1.00") in after and ("lost", "Expired", "$1.00") in after
 
 
+def test_amendment_takes_nothing_from_an_expired_twin(spark):
+    rows = [night_row(f"u{i}", seq=i, amount="$5.00") for i in range(6)] + [night_row(f"u{i}", seq=20 + i, amount="$3.00", status="Expired") for i in range(6)]
+    records = spark.createDataFrame(rows, NIGHT)
+    seen = spark.createDataFrame([(*night_row(f"u{i}", seq=50 + i, amount="$5.00")[:4], "Other", *night_row(f"u{i}", amount="$5.00")[5:12], 50 + i) for i in range(6)], NIGHT)
+    after = nightly.next_snapshot(records, nightly.judged(records, seen, spark.createDataFrame([], "detail_url string"))).collect()
+    assert {(r.status, r.vendor, r.amount) for r in after} == {("Active", "Other", "$5.00"), ("Expired", "V", "$3.00")} and len(after) == 12
+
+
 def test_refused_entity_keeps_its_new_rows(spark):
     records = spark.createDataFrame([night_row(f"u{i}", seq=i) for i in range(20)], NIGHT)
     seen = spark.createDataFrame([night_row("u0", seq=50), night_row("new", seq=51)], NIGHT)
