@@ -18,10 +18,25 @@ from ..operators import documents, fold
 from . import extraction, nightly, search
 from .catalogue import AS_OF, RECORDS_SQL, query, records, t
 
-NAME, KIND, KEY = F.col("p_name"), F.col("p_type"), F.col("p_partkey")
 TEXT_SQL = "WITH x AS (SELECT p_partkey, p_name AS n, lower(p_type) AS t, p_partkey % 4 AS k FROM part) SELECT p_partkey, "
 
 
+def name() -> Column:
+    return F.col("p_name")
+
+
+def kind() -> Column:
+    return F.lower("p_type")
+
+
+def key() -> Column:
+    return F.col("p_partkey")
+
+
+def case() -> Column:
+    return key() % 4
+
+
 def parsed(spark: SparkSession, d: str, text: Column) -> DataFrame:
     """What the whole chain makes of a text of each part."""
     rows = t(spark, d, "part").select("p_partkey", text.alias("text"))
@@ -32,23 +47,21 @@ def say(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-LOW = F.lower(KIND)
-CASE = KEY % 4
 NOTICE = "This item involved a direct purchase which did not result in a contract."
 
 
 @query("F7_direct_purchase", TEXT_SQL + f"CASE WHEN k <> 1 THEN 'direct_purchase' END AS source, CASE WHEN k <> 1 THEN '{NOTICE} ' || n END AS description, 0 AS n_items FROM x")
 def _(spark, d):
     # Only at the document's start, whatever white space is before and in it.
-    return parsed(spark, d, F.when(CASE == 1, say("They wrote: ", NOTICE, " ", NAME)).otherwise(say(" \n", NOTICE.replace(" a direct", "\n a  direct"), "\n", NAME)))
+    return parsed(spark, d, F.when(case() == 1, say("They wrote: ", NOTICE, " ", name())).otherwise(say(" \n", NOTICE.replace(" a direct", "\n a  direct"), "\n", name())))
 
 
 @query("F5_cover_sheet", TEXT_SQL + "CASE WHEN k > 1 THEN 'cover_sheet' END AS source, CASE k WHEN 2 THEN n || ' for ' || t WHEN 3 THEN n END AS description, 0 AS n_items FROM x")
 def _(spark, d):
     lead = "Contract Summary (brief description and/\n or event\n name)  "
-    summary = F.when(CASE == 3, say(lead, NAME, "\nStart Date 1/2/2024")).when(CASE == 2, say(lead, NAME, "\n for ", LOW, "  Purchase Category x Start Date"))
+    summary = F.when(case() == 3, say(lead, name(), "\nStart Date 1/2/2024")).when(case() == 2, say(lead, name(), "\n for ", kind(), "  Purchase Category x Start Date"))
     # Without a label behind it, or without the sheet's title, it is none.
-    return parsed(spark, d, F.coalesce(summary, F.when(CASE == 1, say("Contract Summary event name) ", NAME)).otherwise(say("event name) ", NAME, " Purchase Category"))))
+    return parsed(spark, d, F.coalesce(summary, F.when(case() == 1, say("Contract Summary event name) ", name())).otherwise(say("event name) ", name(), " Purchase Category"))))
 
 
 FORM_HEAD = "CONTRACT COVER SHEET\nUNIVERSITY OF NEBRASKA\nCONTRACT TYPE\nSUPPLIER NAME\nDESCRIPTION OF\nPURCHASE\nDOLLAR AMOUNT\nBUYER NAME\nX\nAcme Co\n"
@@ -57,66 +70,66 @@ FORM_HEAD = "CONTRACT COVER SHEET\nUNIVERSITY OF NEBRASKA\nCONTRACT TYPE\nSUPPLI
 @query("F6_cover_sheet_form", TEXT_SQL + "CASE WHEN k > 1 THEN 'cover_sheet_form' END AS source, CASE WHEN k > 1 THEN n || ' services' END AS description, 0 AS n_items FROM x")
 def _(spark, d):
     # Aligned by an amount or a term; not by neither, and a number is no description.
-    proof = F.when(CASE == 3, "$4,000.00").when(CASE == 2, "ongoing").when(CASE == 1, "B. Uyer").otherwise("$4,000.00")
-    value = F.when(CASE == 0, KEY.cast("string")).otherwise(say(NAME, " services"))
+    proof = F.when(case() == 3, "$4,000.00").when(case() == 2, "ongoing").when(case() == 1, "B. Uyer").otherwise("$4,000.00")
+    value = F.when(case() == 0, key().cast("string")).otherwise(say(name(), " services"))
     return parsed(spark, d, say(FORM_HEAD, value, "\n", proof, "\nB. Uyer"))
 
 
 @query("F9_services_clause", TEXT_SQL + """CASE WHEN k > 0 THEN 'services_clause' END AS source, CASE k WHEN 1 THEN 'The firm shall provide ' || n || ' and ' || t || ' in the hall.' WHEN 2 THEN 'All work on ' || n || ' and other ' || t || ' items. 3. deliveries too'
   WHEN 3 THEN 'The firm shall provide ' || n || ' of the ' || t || ' kind.' END AS description, 0 AS n_items FROM x""")
 def _(spark, d):
-    one = say("Intro 2. SERVICES The firm shall provide ", NAME, " and\n ", LOW, " in the hall. 3. DELIVERY later")
-    two = say("SCOPE OF WORK: 2.1 All work on ", NAME, " and other ", LOW, " items. 3. deliveries too")
-    three = say("7. SCOPE OF SERVICES. The firm shall provide ", NAME, " of the ", LOW, " kind. 8.1. PAYMENT in May")
-    return parsed(spark, d, F.when(CASE == 1, one).when(CASE == 2, two).when(CASE == 3, three).otherwise(say("2. SERVICES ", NAME)))
+    one = say("Intro 2. SERVICES The firm shall provide ", name(), " and\n ", kind(), " in the hall. 3. DELIVERY later")
+    two = say("SCOPE OF WORK: 2.1 All work on ", name(), " and other ", kind(), " items. 3. deliveries too")
+    three = say("7. SCOPE OF SERVICES. The firm shall provide ", name(), " of the ", kind(), " kind. 8.1. PAYMENT in May")
+    return parsed(spark, d, F.when(case() == 1, one).when(case() == 2, two).when(case() == 3, three).otherwise(say("2. SERVICES ", name())))
 
 
 @query("F10_F15_wrapped_items", TEXT_SQL + """CASE WHEN k <> 3 THEN 'line_items' END AS source, CASE k WHEN 0 THEN n || ' in ' || t || '; second ' || n WHEN 1 THEN 'one ' || n || '; two ' || n WHEN 2 THEN left('long ' || n || repeat(' word', 1000), 4000) END AS description,
   CASE k WHEN 0 THEN 2 WHEN 1 THEN 2 ELSE 0 END AS n_items FROM x""")
 def _(spark, d):
-    zero = say("Header\n001 1 EA ", NAME, " 10.00 10.00\n in ", LOW, "\n\nPage 1\njunk\n 002 1,000 LOT second ", NAME, " 0.1250 125.00\nTotal Order: 5\nmore junk\n003 2 EA second ", NAME, " 1.00")
-    one = say("text before 001 2 EA one ", NAME, " 3.00 6.00 002 1 CS two ", NAME, " 1.00 1.00 text behind")
+    zero = say("Header\n001 1 EA ", name(), " 10.00 10.00\n in ", kind(), "\n\nPage 1\njunk\n 002 1,000 LOT second ", name(), " 0.1250 125.00\nTotal Order: 5\nmore junk\n003 2 EA second ", name(), " 1.00")
+    one = say("text before 001 2 EA one ", name(), " 3.00 6.00 002 1 CS two ", name(), " 1.00 1.00 text behind")
     # An item that is too long is cut, and then it has no list.
-    two = say("001 1 EA long ", NAME, " 10.00 10.00\n", F.repeat(F.lit("word "), F.lit(1000)))
-    return parsed(spark, d, F.when(CASE == 0, zero).when(CASE == 1, one).when(CASE == 2, two).otherwise(say("01 1 EA ", NAME, " 10.00 10.00")))
+    two = say("001 1 EA long ", name(), " 10.00 10.00\n", F.repeat(F.lit("word "), F.lit(1000)))
+    return parsed(spark, d, F.when(case() == 0, zero).when(case() == 1, one).when(case() == 2, two).otherwise(say("01 1 EA ", name(), " 10.00 10.00")))
 
 
 @query("F11_F12_table_items", TEXT_SQL + """CASE WHEN k <> 3 THEN 'line_items' END AS source, CASE k WHEN 0 THEN n || ' DARK GREEN; BRUSHES, ' || n WHEN 1 THEN n WHEN 2 THEN n || '; last ' || n END AS description, CASE k WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END AS n_items FROM x""")
 def _(spark, d):
-    zero = say("x Line  Description 1 ", NAME, " 2.0000 CS 3.0000 6.00 DARK\nGREEN 2 BRUSHES, ", NAME, " 1.0000 EA 2.0000 2.00 STATE OF NEBRASKA foo Total Order 8.00 3 no row 1.0000 EA 1.0000 1.00")
+    zero = say("x Line  Description 1 ", name(), " 2.0000 CS 3.0000 6.00 DARK\nGREEN 2 BRUSHES, ", name(), " 1.0000 EA 2.0000 2.00 STATE OF NEBRASKA foo Total Order 8.00 3 no row 1.0000 EA 1.0000 1.00")
     # A tail that is too long, or that carries columns of a row, isn't a description's.
-    one = say("Line Description 1 ", NAME, " 2.0000 CS 3.0000 6.00 ", F.repeat(F.lit("tail "), F.lit(90)), " Page 1 of 2")
-    two = say("Line Description 12 ", NAME, " 2.0000 CS 3.0000 1,006.00 rest 9.1234 2 last ", NAME, " 1.0000 EA 1.0000 1.00 Page 2 of 2")
-    return parsed(spark, d, F.when(CASE == 0, zero).when(CASE == 1, one).when(CASE == 2, two).otherwise(say("Line Description 1 ", NAME, " 2.00 CS 3.0000 6.00")))
+    one = say("Line Description 1 ", name(), " 2.0000 CS 3.0000 6.00 ", F.repeat(F.lit("tail "), F.lit(90)), " Page 1 of 2")
+    two = say("Line Description 12 ", name(), " 2.0000 CS 3.0000 1,006.00 rest 9.1234 2 last ", name(), " 1.0000 EA 1.0000 1.00 Page 2 of 2")
+    return parsed(spark, d, F.when(case() == 0, zero).when(case() == 1, one).when(case() == 2, two).otherwise(say("Line Description 1 ", name(), " 2.00 CS 3.0000 6.00")))
 
 
 @query("F8_purchasing_bureau", TEXT_SQL + """CASE WHEN k > 0 THEN 'purchasing_bureau' END AS source, CASE k WHEN 1 THEN 'Contract to supply and deliver ' || n || ' gravel for the State.' WHEN 2 THEN 'One Time Purchase to furnish ' || n || ' and ' || t || ' goods' WHEN 3 THEN 'Purchase Order to provide ' || n || ' a b c' END AS description, 0 AS n_items FROM x""")
 def _(spark, d):
-    one = say("x\nContract to supply and deliver Contract to supply and deliver ", NAME, " gravel\nfor the State.\nVendor  Contact: none\nmore")
-    two = say("One Time Purchase to furnish ", NAME, " and ", LOW, " goods IMPORTANT NOTE: read this\nand that")
+    one = say("x\nContract to supply and deliver Contract to supply and deliver ", name(), " gravel\nfor the State.\nVendor  Contact: none\nmore")
+    two = say("One Time Purchase to furnish ", name(), " and ", kind(), " goods IMPORTANT NOTE: read this\nand that")
     # Four lines carry it on at most, the end of its own among them; too short is none.
-    three = say("Purchase Order to provide ", NAME, "\na\nb\nc\nd\ne")
-    return parsed(spark, d, F.when(CASE == 1, one).when(CASE == 2, two).when(CASE == 3, three).otherwise("Contract to supply it"))
+    three = say("Purchase Order to provide ", name(), "\na\nb\nc\nd\ne")
+    return parsed(spark, d, F.when(case() == 1, one).when(case() == 2, two).when(case() == 3, three).otherwise("Contract to supply it"))
 
 
 @query("F13_contract_description", TEXT_SQL + """CASE WHEN k > 0 THEN 'contract_description' END AS source, CASE k WHEN 1 THEN 'GRAD ' || n || ' — I-80, ' || t WHEN 2 THEN 'GRAD at ' || t || ' ' || n WHEN 3 THEN 'GRAD ' || n END AS description, 0 AS n_items FROM x""")
 def _(spark, d):
-    one = say("Primary Project Location: I-80, ", LOW, "   Contract Description: GRAD ", NAME, "   Vendor: x")
-    two = say("Contract Description: GRAD at ", LOW, " ", NAME, " Letting Date: 1/2/2024 Primary Project Location: ", LOW, "  Vendor: x")
-    three = say("Contract Description: GRAD ", NAME, " Primary Project Location: Letting Date: 1/2/2024")
-    return parsed(spark, d, F.when(CASE == 1, one).when(CASE == 2, two).when(CASE == 3, three).otherwise(say("Contract Description: GRAD ", NAME, " Vendor: x")))
+    one = say("Primary Project Location: I-80, ", kind(), "   Contract Description: GRAD ", name(), "   Vendor: x")
+    two = say("Contract Description: GRAD at ", kind(), " ", name(), " Letting Date: 1/2/2024 Primary Project Location: ", kind(), "  Vendor: x")
+    three = say("Contract Description: GRAD ", name(), " Primary Project Location: Letting Date: 1/2/2024")
+    return parsed(spark, d, F.when(case() == 1, one).when(case() == 2, two).when(case() == 3, three).otherwise(say("Contract Description: GRAD ", name(), " Vendor: x")))
 
 
 @query("F14_A7_A18_scope", f"""WITH x AS (SELECT p_partkey, p_partkey % 6 AS k, p_name AS n FROM part), s AS (SELECT CASE k WHEN 0 THEN 'direct_purchase' WHEN 1 THEN 'cover_sheet' WHEN 2 THEN 'contract_description' END AS source, CASE k WHEN 0 THEN length('{NOTICE} ') + length(n) WHEN 1 THEN length(n) WHEN 2 THEN 5 + length(n) END AS size FROM x WHERE k < 4)
 SELECT source, count(*) AS n, list_sort(list(size))[count(*) // 2 + 1] AS median, max(size) AS longest FROM s WHERE source IS NOT NULL GROUP BY 1 UNION ALL SELECT 'status ' || CASE WHEN k < 4 THEN 'text' WHEN k = 4 THEN 'scanned' ELSE 'error' END, count(*), NULL, NULL FROM x GROUP BY 1""")
 def _(spark, d):
-    k = KEY % 6
-    notice, sheet = say(NOTICE, " ", NAME), say("Contract Summary event name) ", NAME, " Start Date")
+    k = key() % 6
+    notice, sheet = say(NOTICE, " ", name()), say("Contract Summary event name) ", name(), " Start Date")
     # A text that several parsers accept goes to the first of them.
-    highway = say("Primary Project Location: Letting Date: x Contract Description: GRAD ", NAME, " Vendor: x")
+    highway = say("Primary Project Location: Letting Date: x Contract Description: GRAD ", name(), " Vendor: x")
     text = F.when(k == 0, say(notice, F.lit(""))).when(k == 1, say(sheet, " ", highway)).when(k == 2, highway).when(k == 3, "nothing")
     status = F.when(k < 4, "text").when(k == 4, "scanned").otherwise("error")
-    log = t(spark, d, "part").select(KEY.cast("string").alias("tok"), F.struct(status.alias("status"), F.lit("d").alias("doc"), text.alias("text")).alias("data"))
+    log = t(spark, d, "part").select(key().cast("string").alias("tok"), F.struct(status.alias("status"), F.lit("d").alias("doc"), text.alias("text")).alias("data"))
     tally = extraction.status_tally(log).select(F.concat(F.lit("status "), "status").alias("source"), "n", F.lit(None).cast("int").alias("median"), F.lit(None).cast("int").alias("longest"))
     return extraction.report(extraction.scope(log)).unionByName(tally)
 
@@ -131,7 +144,7 @@ def _(spark, d):
 
 @query("P14_display_name", "SELECT p_partkey, p_name || ' & co' AS shown, p_name || chr(9) || chr(1) || ' & ' || chr(10) || 'co ' AS vendor FROM part")
 def _(spark, d):
-    vendor = F.concat(NAME, F.lit("\t\u0001 & \nco "))
+    vendor = F.concat(name(), F.lit("\t\u0001 & \nco "))
     return t(spark, d, "part").select("p_partkey", N.display_name(vendor).alias("shown"), vendor.alias("vendor"))
 
 
@@ -150,11 +163,11 @@ def _(spark, d):
 @query("F25_highlight", """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN replace(replace(p_name, 'plate', '<mark>plate</mark>'), 'red', '<mark>red</mark>') || ' &amp; &lt;co&gt;' ELSE replace(replace(p_name, 'red plate', '<mark>red plate</mark>'), 'x', 'x') || ' co' END AS shown FROM part WHERE p_name NOT LIKE '%plate%' OR p_name = 'red plate' OR p_partkey % 2 = 0""")
 def _(spark, d):
     rows = t(spark, d, "part").where("p_name not like '%plate%' or p_name = 'red plate' or p_partkey % 2 = 0")
-    apart = S.highlighted(F.concat(NAME, F.lit(" & <co>")), "plate  red")
+    apart = S.highlighted(F.concat(name(), F.lit(" & <co>")), "plate  red")
     # Typed in the name's order it is one run; of the words alone 'red' and 'plate' would be marked each.
-    run = S.highlighted(F.concat(NAME, F.lit(" co")), "RED plate")
-    whole = F.when(NAME == "red plate", run).otherwise(F.concat(NAME, F.lit(" co")))
-    return rows.select("p_partkey", F.when(KEY % 2 == 0, apart).otherwise(whole).alias("shown"))
+    run = S.highlighted(F.concat(name(), F.lit(" co")), "RED plate")
+    whole = F.when(name() == "red plate", run).otherwise(F.concat(name(), F.lit(" co")))
+    return rows.select("p_partkey", F.when(key() % 2 == 0, apart).otherwise(whole).alias("shown"))
 
 
 @query("F27_same_geometry", "SELECT doc_id, doc_id % 4 < 3 AND length(text) > 0 OR doc_id % 4 < 2 AS same FROM documents WHERE length(text) > 60 AND regexp_matches(left(text, 60), '^[A-Za-z]')")
@@ -169,17 +182,17 @@ def _(spark, d):
 def _(spark, d):
     # A page: a title, a label whose value stands right of it (its words a little higher or lower), another line, a footer.
     word = lambda text, x, y: F.struct(text.alias("text") if isinstance(text, Column) else F.lit(text).alias("text"), F.lit(x).cast("double").alias("x0"), F.lit(x + 40).cast("double").alias("x1"), F.lit(y).cast("double").alias("top"), F.lit(y + 10).cast("double").alias("bottom"))
-    first, second = F.split(NAME, " ")[0], F.split(NAME, " ")[1]
-    label = F.when(KEY % 5 != 0, "Purchase:").otherwise("Vendor:")
+    first, second = F.split(name(), " ")[0], F.split(name(), " ")[1]
+    label = F.when(key() % 5 != 0, "Purchase:").otherwise("Vendor:")
     words = F.array(word("Cover", 10, 10), word("Description", 10, 100), word("of", 60, 100), word(label, 110, 100), word(second, 210, 102), word(first, 160, 99), word(F.col("p_brand"), 260, 100), word("left", 0, 120), word("below", 200, 112), word("Page", 300, 400))
-    boxes = t(spark, d, "part").select(KEY.alias("page"), F.explode(words).alias("b")).select("page", "b.*")
+    boxes = t(spark, d, "part").select(key().alias("page"), F.explode(words).alias("b")).select("page", "b.*")
     return S.right_of_label(boxes, ["description", "of", "purchase:"])
 
 
 @query("F16_packed_documents", "SELECT p_size AS size, count(*) AS n, CAST(sum(12 + octet_length(encode(p_name || 'é')) + octet_length(encode('t' || p_partkey)) + 4) AS INTEGER) AS bytes, true AS same FROM part GROUP BY 1")
 def _(spark, d):
     fields = ("name", "size", "token")
-    file = F.struct(F.concat(NAME, F.lit("é")).alias("name"), F.lit("1 KB").alias("size"), F.concat(F.lit("t"), KEY.cast("string")).alias("token"))
+    file = F.struct(F.concat(name(), F.lit("é")).alias("name"), F.lit("1 KB").alias("size"), F.concat(F.lit("t"), key().cast("string")).alias("token"))
     lists = t(spark, d, "part").groupBy(F.col("p_size").alias("size")).agg(F.sort_array(F.collect_list(file)).alias("files")).withColumn("raw", N.packed_list(F.col("files"), *fields))
     back = N.unpacked_list(F.col("raw"), *fields)
     return lists.select("size", F.size("files").cast("long").alias("n"), F.octet_length("raw").alias("bytes"), (back == F.col("files")).alias("same"))
