@@ -110,7 +110,8 @@ def _(spark, d):
 @query("ST13_accounted_rows", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 40 = 3)")
 def _(spark, d):
     docs = t(spark, d, "documents").select("doc_id")
-    return guards.unfinished(docs, docs.where("doc_id % 40 <> 3"), "doc_id")
+    # A fixed share is dropped here, so it grows with the table; the guard's refusal is one of the query on refusals.
+    return guards.unfinished(docs, docs.where("doc_id % 40 <> 3"), "doc_id", limit=None)
 
 
 @query("ST14_X18_judged_report", "SELECT true AS failed, 0 AS left FROM (SELECT 1) WHERE EXISTS (SELECT 1 FROM events GROUP BY event_type HAVING count(*) >= 5 AND count(*) FILTER (value > 1) * 2 > count(*))")

@@ -167,3 +167,14 @@ def test_reports(spark):
     ocr = spark.createDataFrame([({"v": {"seconds_per_page": 2.0, "described": True, "error": None}},), ({"v": {"seconds_per_page": 0.0, "described": False, "error": "e"}},)], "engines map<string,struct<seconds_per_page:double,described:boolean,error:string>>")
     assert rows_of(reports.engines(ocr)) == [("v", 2, 50.0, 2.0, 1)]
     assert rows_of(index.word_stats(index.postings(spark.createDataFrame([(1, "The the cat"), (2, "cat")], "row_id int, d string"), "d"))) == [("cat", 2, 1, 2), ("the", 1, 1, 1)]
+
+
+def test_unaccounted_rows_without_limit(spark, tmp_path):
+    from ledgerline.plans.queries import QUERIES
+
+    assert guards.unfinished(spark.range(1500), spark.range(200), "id", limit=None).count() == 200
+    spark.range(50_000).withColumnRenamed("id", "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    kept = QUERIES["ST13_accounted_rows"](spark, str(tmp_path))
+    assert kept.count() == 48_750 and kept.where("doc_id % 40 = 3").isEmpty()
+    with pytest.raises(ValueError, match="unaccounted"):
+        guards.unfinished(spark.range(1500), spark.range(200), "id")
