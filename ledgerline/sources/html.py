@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,12 +57,28 @@ def file_links(pages: DataFrame, html: str = "html", pattern: str = r"ViewDocume
     return zipped.select(*kept, F.posexplode("_l").alias("position", "_x")).select(*kept, "position", cell_text(F.col("_x.name")).alias("name"), unescaped(F.col("_x.token")).alias("token"))
 
 
+def bound_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once: a column named in a lambda is otherwise read, or computed, at every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def first_of_each(items: Column, field: str) -> Column:
+    """Of an array of structs the first of each value of a field, in the array's order: by sorting, as pages can be long."""
+
+    def kept(all_: Column) -> Column:
+        places = F.sort_array(F.transform(all_, lambda x, i: F.struct(x[field].alias("value"), i.alias("i"))))
+        firsts = bound_once(places, lambda p: F.filter(p, lambda x, k: (k == 0) | ~F.get(p, k - 1)["value"].eqNullSafe(x["value"])))
+        return F.transform(F.sort_array(F.transform(firsts, lambda x: x["i"])), lambda i: F.get(all_, i))
+
+    return bound_once(items, kept)
+
+
 def document_list(pages: DataFrame, html: str = "html") -> DataFrame:
     """page columns, documents: name, size and token of each file row, first per token; null where the page is null."""
     row = r"(?is)<tr[^>]*>\s*<td[^>]*>(?:(?!</td>).)*?ViewDocument[^\"']*?D=([^\"']+)[^>]*>(.*?)</a>\s*</td>\s*<td[^>]*>(.*?)</td>"
     part = lambda k: F.regexp_extract_all(html, F.lit(row), F.lit(k))
     zipped = F.arrays_zip(part(2).alias("name"), part(3).alias("size"), part(1).alias("token"))
-    first = pages.withColumn("_d", zipped).withColumn("_d", F.filter("_d", lambda x, i: F.array_position(F.col("_d.token"), x["token"]) == i + 1))
+    first = pages.withColumn("_d", first_of_each(zipped, "token"))
     clean = F.transform("_d", lambda x: F.struct(cell_text(x["name"]).alias("name"), cell_text(x["size"]).alias("size"), x["token"].alias("token")))
     return first.select(*[c for c in pages.columns if c != html], clean.alias("documents"))
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,3 +187,13 @@ def test_extraction_plan(spark):
     assert sorted(tuple(r) for r in extraction.status_tally(log).collect()) == [("scanned", 1), ("text", 2)]
     answers = extraction.summary_results(spark.createDataFrame([("a", "UNCLEAR."), ("b", " fine ")], "tok string, answer string"))
     assert sorted(tuple(r) for r in answers.collect()) == [("a", True, None), ("b", False, "fine")]
+
+
+def test_long_document_list(spark):
+    # Half of the tokens come twice: the first counts. By place and array this took the square of the page's length.
+    row = lambda i: f"<tr><td><a href='V/ViewDocument?D=t{i % 10_000}'>n{i} &amp; co</a></td><td>12 KB</td></tr>"
+    page = spark.createDataFrame([(1, "".join(row(i * 7) for i in range(20_000)))], "p int, html string")
+    began = time.monotonic()
+    docs = html.document_list(page).first().documents
+    assert [(x.name, x.token) for x in docs] == [(f"n{i * 7} & co", f"t{i * 7 % 10_000}") for i in range(10_000)]
+    assert time.monotonic() - began < 60
