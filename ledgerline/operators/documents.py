@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import DESCRIPTION_SOURCES
+from ..sources.scratch import written
 from .fold import best_by_rank
 
 
@@ -42,12 +43,17 @@ def summarised(rows: DataFrame, places: DataFrame, summaries: DataFrame, models:
     summaries: tok, model, summary, unclear, seq. Unclear ones and errors carry no text. A model that isn't known fails the
     query if a row carries the token, and does no harm otherwise. A row whose own list lacks the token has position null.
     """
-    good = summaries.where("summary is not null and not coalesce(unclear, false)")
-    own = rows.where("view_token <> ''").select(F.col("view_token").alias("token"), "row_id")
-    listed = places.select("token", "row_id", "position")
-    every = own.join(listed, ["token", "row_id"], "left").unionByName(listed).distinct()
-    checked = F.when(F.col("model").isin(models), F.col("model")).otherwise(F.raise_error(F.concat(F.lit("unknown model: "), F.coalesce("model", F.lit("none")))))
-    met = good.join(every, good["tok"] == every["token"]).select("row_id", F.coalesce("position", F.lit(0)).alias("rank"), "seq", "summary", checked.alias("model"), "position")
+    good = summaries.where("summary is not null and not coalesce(unclear, false) and tok is not null")
+    # Of a token's summaries only the latest can be a row's best, so one row a token meets the places, not each summary each row.
+    odd = F.max(F.when(F.coalesce(~F.col("model").isin(models), F.lit(True)), F.coalesce("model", F.lit("none"))))
+    best = good.groupBy("tok").agg(F.max_by(F.struct("seq", "summary", "model"), F.struct("seq")).alias("s"), odd.alias("odd"))
+    # It is written, so that its size is known: a small one is broadcast and the places stay where they are.
+    best = written(best, "summaries")
+    # A row's own token counts at its place in the list, and has none if the list lacks it. Of equal tokens the first place counts.
+    own = rows.where("view_token <> ''").select(F.col("view_token").alias("token"), "row_id", F.lit(None).cast("int").alias("position"))
+    every = places.select("token", "row_id", F.col("position").cast("int").alias("position")).unionByName(own).groupBy("row_id", "token").agg(F.min("position").alias("position"))
+    model = F.when(F.col("odd").isNull(), F.col("s.model")).otherwise(F.raise_error(F.concat(F.lit("unknown model: "), "odd")))
+    met = every.join(best, every["token"] == best["tok"]).select("row_id", F.coalesce("position", F.lit(0)).alias("rank"), F.col("s.seq").alias("seq"), F.col("s.summary").alias("summary"), model.alias("model"), "position")
     return best_by_rank(met, ["row_id"], "rank", "seq").select("row_id", "summary", "model", "position")
 
 

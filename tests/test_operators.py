@@ -1,6 +1,7 @@
 """Folds, duplicates, joins, differences and guards on tiny tables."""
 
 import datetime as dt
+import time
 import random
 
 import pytest
@@ -178,3 +179,17 @@ def test_unaccounted_rows_without_limit(spark, tmp_path):
     assert kept.count() == 48_750 and kept.where("doc_id % 40 = 3").isEmpty()
     with pytest.raises(ValueError, match="unaccounted"):
         guards.unfinished(spark.range(1500), spark.range(200), "id")
+
+
+def test_many_summaries_of_a_shared_document(spark):
+    # 5,000 summaries of a document of 100,000 rows: only the latest meets the rows. An older one of an unknown model still fails.
+    rows = spark.range(100_000).select(F.col("id").alias("row_id"), F.lit("t0").alias("view_token"))
+    places = rows.where("row_id % 2 = 0").select(F.lit("t0").alias("token"), "row_id", F.lit(3).alias("position"))
+    s = spark.range(5000).select(F.lit("t0").alias("tok"), F.lit("m").alias("model"), F.concat(F.lit("about "), "id").alias("summary"), F.lit(False).alias("unclear"), F.col("id").alias("seq"))
+    began = time.monotonic()
+    got = documents.summarised(rows, places, s, ["m"]).groupBy("summary", "model", "position").count().collect()
+    assert sorted(map(tuple, got), key=str) == [("about 4999", "m", 3, 50_000), ("about 4999", "m", None, 50_000)]
+    assert time.monotonic() - began < 60
+    odd = s.withColumn("model", F.when(F.col("seq") == 7, None).otherwise("m"))
+    with pytest.raises(Exception, match="unknown model: none"):
+        documents.summarised(rows.limit(3), places.limit(3), odd, ["m"]).collect()
